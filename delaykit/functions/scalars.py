@@ -50,6 +50,12 @@ def scheduled_hour(date_text: Col, clock: Col) -> Column:
     return F.when(hour < 24, start + F.make_dt_interval(F.lit(0), hour))
 
 
+def hour_floor(ts: Col) -> Column:
+    """Start of the hour of a zone-less timestamp, free of the session zone."""
+    ts = as_col(ts)
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
+
+
 def shift_hours(ts: Col, hours: int) -> Column:
     return as_col(ts) + F.expr(f"INTERVAL '{hours}' HOUR")
 

@@ -53,13 +53,23 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return _long(df.agg(*counts), columns, fields, "column_name")
 
 
+def reads_as_int(text: Column) -> Column:
+    """Does the text read as a whole number once a decimal part is cut off?"""
+    trimmed = F.trim(text)
+    shaped = trimmed.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$")
+    whole = F.abs(trimmed.try_cast("double"))
+    return F.coalesce(shaped & (whole < 2147483648.0), F.lit(False))
+
+
 def unparseable_audit(df: DataFrame, columns: Sequence[str], kind: str = "int") -> DataFrame:
     """Rows per column whose value does not read as ``kind`` (null counts as unreadable)."""
     counts = []
     for c in columns:
         x = F.col(f"`{c}`")
+        text = x.cast("string")
+        readable = reads_as_int(text) if kind == "int" else text.try_cast(kind).isNotNull()
         counts += [
-            F.count_if(x.cast("string").try_cast(kind).isNull()).alias(f"{c}__n_unparseable"),
+            F.count_if(~readable).alias(f"{c}__n_unparseable"),
             F.count_if(x.isNull()).alias(f"{c}__n_null"),
             F.count(F.lit(1)).alias(f"{c}__n_rows"),
         ]
