@@ -32,7 +32,7 @@ def tree_ensemble_report(spark: SparkSession, model) -> DataFrame:
 
 def boosting_loss(model, rows: DataFrame) -> DataFrame:
     """Loss after each boosting iteration on the given rows."""
-    losses = model.evaluateEachIteration(rows, "logistic")
+    losses = model.evaluateEachIteration(rows)
     return rows.sparkSession.createDataFrame(
         [(i + 1, float(v)) for i, v in enumerate(losses)], "iteration int, loss double"
     )

@@ -45,8 +45,8 @@ AVERAGED = ["ELEVATION", *WEATHER_MEASURES, *STATION_NUMBERS]
 def prepare_flights(flights: DataFrame) -> DataFrame:
     """Distinct flights with a tail number, their departure hour and the weather hour."""
     columns = [c for c in FLIGHT_COLUMNS if c in flights.columns]
-    rows = drop_null_keys(flights.select(*columns), ["TAIL_NUM"])
-    return exact_dedup(rows).withColumns(
+    rows = drop_null_keys(flights, ["TAIL_NUM"])
+    return exact_dedup(rows, columns).withColumns(
         {
             "DEP_HOUR": hour_text("CRS_DEP_TIME"),
             "DEP_DAY": F.date_format(day_of("FL_DATE"), "yyyy-MM-dd"),
