@@ -346,9 +346,9 @@ def coded_flights(spark, sf):
 
 
 def engineered(spark, sf):
-    flights = coded_flights(spark, sf)
-    ranks = airport_pagerank(flights.select("YEAR", "ORIGIN", "DEST"), ("YEAR",), max_rounds=ROUNDS)
-    return engineer_features(flights, special_day_calendar(flights.select("YEAR")), ranks)
+    ranks = airport_pagerank(s.order_flights(spark, sf), ("YEAR",), max_rounds=ROUNDS)
+    calendar = special_day_calendar(s.plain_orders(spark, sf))
+    return engineer_features(coded_flights(spark, sf), calendar, ranks)
 
 
 def _feature_output(df):

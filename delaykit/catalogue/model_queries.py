@@ -65,7 +65,8 @@ def feature_stage(spark, sf):
 
 
 def _prepared(spark, sf, name="full", **options):
-    return prepare(feature_stage(spark, sf), SETS[name], _hold(), _TIME, **options)
+    carry = ["o_orderkey", "flight_id", "YEAR"]
+    return prepare(feature_stage(spark, sf), SETS[name], _hold(), _TIME, carry=carry, **options)
 
 
 def _shown(metrics):

@@ -30,7 +30,7 @@ def check_cardinality(
     """
     if not columns:
         return {}
-    counts = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first().asDict()
+    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
     wide = {c: n for c, n in counts.items() if n > limit}
     if wide:
         raise ValueError(f"too many categories: {wide}; limit {limit}")

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaykit.operators.lookup import plain_key
-
 
 def _long(row: DataFrame, names: Sequence[str], fields: Sequence[str], key: str) -> DataFrame:
     """Turn one wide row of ``name__field`` columns into one row per name."""
@@ -77,25 +75,20 @@ def unparseable_audit(df: DataFrame, columns: Sequence[str], kind: str = "int")
 
 
 def distinct_counts(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Exact distinct combinations for several named column tuples.
+    """Exact distinct combinations (nulls included) for several named column tuples.
 
-    Every tuple becomes one tagged row, so a single shuffle on (tag, values) serves them all
-    and repeated combinations collapse before it.
+    One aggregate serves all tuples: rows are expanded once per tuple, and repeated
+    combinations collapse before the shuffle, which goes by the combination itself.
     """
-    tagged = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("key_name"),
-                        plain_key(*cols).alias("v"),
-                    )
-                    for name, cols in keys.items()
-                ]
-            )
-        ).alias("k")
-    ).select("k.*")
-    return tagged.distinct().groupBy("key_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    counts = [
+        F.count_distinct(F.struct(*[F.col(f"`{c}`") for c in cols])).alias(f"k{i}")
+        for i, cols in enumerate(keys.values())
+    ]
+    cells = [
+        F.struct(F.lit(name).alias("key_name"), F.col(f"k{i}").alias("n_distinct"))
+        for i, name in enumerate(keys)
+    ]
+    return df.agg(*counts).select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 
 def key_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:

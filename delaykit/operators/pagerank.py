@@ -30,7 +30,7 @@ def pagerank(
     tol: float = PAGERANK_TOLERANCE,
     max_rounds: int = 100,
     source_vertices_only: bool = False,
-    checkpoint_every: int = 4,
+    checkpoint_every: int = 10,
 ) -> DataFrame:
     """(periods, id, pagerank) for weighted edges from :func:`period_edges`.
 
@@ -49,41 +49,43 @@ def pagerank(
         sources = keyed.select("__p", F.col("src").alias("dst")).distinct()
         keyed = keyed.join(sources, ["__p", "dst"], "left_semi")
     out_weight = F.sum("n_edges").over(Window.partitionBy("__p", "src"))
-    links = cut_lineage(
-        keyed.select(
-            *periods, "__p", "src", "dst", (F.col("n_edges") / out_weight).alias("w")
-        )
+    weighted = keyed.select(
+        *periods, "__p", "src", "dst", (F.col("n_edges") / out_weight).alias("w")
     )
+    links = cut_lineage(weighted)
     ends = links.select(*periods, "__p", F.col("src").alias("id"))
     if not source_vertices_only:
         ends = ends.union(links.select(*periods, "__p", F.col("dst").alias("id")))
-    state = ends.distinct().select(
-        *periods, "__p", "id", F.lit(reset).alias("rank"), F.lit(reset).alias("change")
-    )
-    hops = links.select("__p", F.col("src").alias("id"), "dst", "w")
-    if fits_broadcast(hops):
+    vertices = ends.distinct()
+
+    # A link of every vertex to itself (no weight) carries its rank into the next round, so
+    # a round is one join and one combined sum, and a chain of rounds stays a straight line.
+    own = vertices.select("__p", "id", F.col("id").alias("dst"), F.lit(None).cast("double").alias("w"))
+    hops = links.select("__p", F.col("src").alias("id"), "dst", "w").unionByName(own)
+    if fits_broadcast(links):
         hops = F.broadcast(hops)
 
-    state = cut_lineage(state)
+    state = vertices.select(
+        "__p", "id", F.lit(reset).alias("rank"), F.lit(reset).alias("change")
+    )
+    kept = F.when(F.col("w").isNull(), F.col("rank")).otherwise(F.lit(0.0))
+    sent = F.when(
+        F.col("w").isNotNull() & (F.col("change") > tol),
+        F.col("change") * F.col("w") * (1 - reset),
+    ).otherwise(F.lit(0.0))
     for number in range(1, max_rounds + 1):
-        arriving = (
-            state.filter(F.col("change") > tol)
-            .select("__p", "id", "change")
-            .join(hops, ["__p", "id"])
+        state = (
+            state.join(hops, ["__p", "id"])
             .groupBy("__p", F.col("dst").alias("id"))
-            .agg((F.sum(F.col("change") * F.col("w")) * (1 - reset)).alias("__in"))
-        )
-        state = state.join(arriving, ["__p", "id"], "left").select(
-            *periods,
-            "__p",
-            "id",
-            (F.col("rank") + F.coalesce("__in", F.lit(0.0))).alias("rank"),
-            F.coalesce("__in", F.lit(0.0)).alias("change"),
+            .agg(F.sum(kept).alias("__kept"), F.sum(sent).alias("change"))
+            .select("__p", "id", (F.col("__kept") + F.col("change")).alias("rank"), "change")
         )
         if number % checkpoint_every == 0 and number < max_rounds:
             state = cut_lineage(state)
             if state.filter(F.col("change") > tol).isEmpty():
                 break
+    if periods:
+        state = state.join(vertices, ["__p", "id"])
     scale = F.count(F.lit(1)).over(Window.partitionBy("__p")) / F.sum("rank").over(
         Window.partitionBy("__p")
     )

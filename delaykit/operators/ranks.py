@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaykit.operators.lookup import null_safe_join, plain_key, sized_lookup
+from delaykit.operators.lookup import BROADCAST_BYTES, null_safe_join, plain_key, sized_lookup
+from delaykit.session import cut_lineage
 
 MAX_BUCKETS = 2000
 _BELOW_ALL = -(2**62)
@@ -145,15 +146,23 @@ def percent_rank(
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Replace each column by its average rank (ties share the mean of their places)."""
+    """Replace each column by its average rank (ties share the mean of their places).
+
+    The ranks of all columns come from one pass over (column, value) counts and are kept
+    once; a column with few distinct values is then looked up by broadcast, by its counted
+    size, and any other by a shuffle join.
+    """
+    columns = list(columns)
+    cells = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
+    long = df.select(F.explode(F.array(*cells)).alias("x")).select("x.c", "x.v")
+    ranks = cut_lineage(value_ranks(long, "v", keys=["c"], buckets=buckets))
+    sizes = {r["c"]: r["n"] for r in ranks.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
     ranked = df
-    for c in columns:
-        ranks = value_ranks(df, c, buckets=buckets).select(
-            c, F.col("__average_rank").alias(f"__rank_{c}")
-        )
-        ranked = (
-            null_safe_join(ranked, sized_lookup(ranks), [c])
-            .drop(c)
-            .withColumnRenamed(f"__rank_{c}", c)
+    for i, c in enumerate(columns):
+        mine = ranks.filter(F.col("c") == i).select(
+            F.col("v").alias(c), F.col("__average_rank").alias("__rank")
         )
+        if sizes.get(i, 0) * 32 <= BROADCAST_BYTES:
+            mine = F.broadcast(mine)
+        ranked = null_safe_join(ranked, mine, [c]).drop(c).withColumnRenamed("__rank", c)
     return ranked

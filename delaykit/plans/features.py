@@ -34,10 +34,11 @@ def engineer_features(
 ) -> DataFrame:
     """Special days, prior-year carrier figures, previous flight, prior-year PageRank of the
     destination, weather flags. Years without a prior year of PageRank drop out."""
-    dated = special_day_effect(joined, calendar)
-    rated = carrier_effect(dated, first_period=first_year)
+    # carrier figures first: their pass over the rows then reads four columns of the stage
+    rated = carrier_effect(joined, first_period=first_year)
+    dated = special_day_effect(rated, calendar)
     tracked = previous_status(
-        rated,
+        dated,
         LABEL,
         day="FL_DATE",
         unit="TAIL_NUM",

@@ -13,6 +13,7 @@ from delaykit.ml.preparation import build_pipeline
 from delaykit.ml.search import SearchResult, blocking_search
 from delaykit.ml.selection import best_model, predict_holdout
 from delaykit.operators.folds import blocking_folds, period_folds
+from delaykit.session import cut_lineage
 
 
 @dataclass
@@ -33,19 +34,29 @@ def prepare(
     one_hot: bool = True,
     impute: bool = False,
     scale: bool = False,
+    carry: Sequence[str] | None = None,
 ) -> Prepared:
     """Fit the preparation on the training rows, mark their folds, set the holdout aside.
 
-    Folds are equal blocks of time, or one per ``period`` if given.
+    Folds are equal blocks of time, or one per ``period`` if given. Beside the vectors,
+    ``carry`` names the columns to keep (all input columns if unset); the label and the
+    time stay anyway. Training rows are kept as a stage, since ranking them and every fit
+    read them again.
     """
     train_rows = features.filter(~is_holdout)
     pipeline = build_pipeline(train_rows, chosen, one_hot, impute, scale)
-    train = pipeline.transform(train_rows)
+    vectors = ["features", "scaledFeatures"] if scale else ["features"]
+    shown = [c for c in features.columns if carry is None or c in {chosen.label, time, period, *carry}]
+
+    def transformed(rows: DataFrame) -> DataFrame:
+        return pipeline.transform(rows).select(*shown, *vectors)
+
+    train = cut_lineage(transformed(train_rows))
     if period:
         train = period_folds(train, time, period, train_share)
     else:
         train = blocking_folds(train, time, blocks, train_share)
-    return Prepared(pipeline, train, pipeline.transform(features.filter(is_holdout)))
+    return Prepared(pipeline, train, transformed(features.filter(is_holdout)))
 
 
 @dataclass

@@ -21,6 +21,8 @@ def build_session(app: str = "delaykit", master: str | None = None, **conf) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # call sites per column expression cost more driver time than small plans take to run
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
