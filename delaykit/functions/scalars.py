@@ -67,9 +67,11 @@ def to_utc(ts: Col, zone: Col) -> Column:
 
 def slash_date(text: Col) -> Column:
     """Date from month/day/year text; two-digit years belong to the 2000s."""
-    part = F.split(as_col(text), "/")
-    year = F.when(F.length(part[2]) == 2, F.concat(F.lit("20"), part[2])).otherwise(part[2])
-    return F.try_to_date(F.concat_ws("-", year, part[0], part[1]), "yyyy-M-d")
+    parts = F.split(as_col(text), "/")
+    month, day, year = (F.get(parts, F.lit(i)) for i in range(3))
+    full_year = F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
+    dash = F.lit("-")
+    return F.try_to_date(F.concat(full_year, dash, month, dash, day), "yyyy-M-d")
 
 
 # -- keys and flags ----------------------------------------------------------

@@ -32,24 +32,27 @@ def previous_status(
 
     A unit-day is cut into chunks of the clock, so that no task holds all events of a busy
     unit. Look-backs run inside the chunk; a chunk's first two events take over the last two
-    of the chunks before, which are found from one row per chunk. The chunk table is built
-    from the partitioning the rows already have, so the rows are shuffled once.
+    of the chunks before, which are found from one row per chunk. Whole rows are shuffled
+    once; finding the chunk ends shuffles key, time and status only.
     """
     keys = ["__unit_day", "__chunk"]
-    now = F.struct(F.col("__at").alias("at"), F.col(status).alias("s"))
     inside = Window.partitionBy(*keys).orderBy("__at", *tie)
     placed = df.withColumns({"__at": as_col(minutes), "__unit_day": plain_key(day, unit)})
     placed = placed.withColumn(
         "__chunk", F.coalesce(F.floor(F.col("__at") / chunk_minutes), F.lit(-1))
-    )
-    local = (
-        placed.withColumn("__place", F.row_number().over(inside))
-        .withColumn("__one", F.lag(now, 1).over(inside))
-        .withColumn("__two", F.lag(now, 2).over(inside))
+    ).withColumn("__now", F.struct(F.col("__at").alias("at"), F.col(status).alias("s")))
+    local = placed.withColumns(
+        {
+            "__place": F.row_number().over(inside),
+            "__one": F.lag("__now", 1).over(inside),
+            "__two": F.lag("__now", 2).over(inside),
+        }
     )
 
     ends = local.groupBy(*keys).agg(
-        F.max_by(F.struct(now.alias("last"), F.col("__one").alias("second")), "__place").alias("e")
+        F.max_by(
+            F.struct(F.col("__now").alias("last"), F.col("__one").alias("second")), "__place"
+        ).alias("e")
     )
     over_chunks = Window.partitionBy("__unit_day").orderBy("__chunk")
     carried = ends.select(
@@ -85,5 +88,5 @@ def previous_status(
                 f"{out}_gap_minutes": gap,
             }
         )
-    helpers = ["__unit_day", "__at", "__chunk", "__place", "__one", "__two", "__c_one", "__c_two", "__p1", "__p2"]
+    helpers = ["__unit_day", "__at", "__now", "__chunk", "__place", "__one", "__two", "__c_one", "__c_two", "__p1", "__p2"]
     return result.drop(*helpers)

@@ -34,7 +34,7 @@ def csv_to_parquet(
 def read_tabbed(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """Tab-separated text lines (an edge list) as named text columns."""
     parts = F.split("value", "\t")
-    return spark.read.text(path).select(*[parts[i].alias(n) for i, n in enumerate(names)])
+    return spark.read.text(path).select(*[F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
