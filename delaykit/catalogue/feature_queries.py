@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from delaykit.catalogue import standins as s
 from delaykit.catalogue.registry import query, r9, tables
 from delaykit.config import SPECIAL_DAY_EFFECTS
-from delaykit.functions.scalars import code_flags
+from delaykit.functions.scalars import code_flags, hour_text
 from delaykit.operators.audits import prevalence
 from delaykit.operators.lagged import carrier_effect, period_rates
 from delaykit.operators.special_days import special_day_calendar, special_day_effect
 from delaykit.operators.tracker import previous_status
 from delaykit.plans.features import airport_pagerank, engineer_features, rebalance
+from delaykit.session import checkpoint_dir
+from delaykit.sources.sinks import write_stage
 
 
 def _effect_sql(group: str) -> str:
@@ -351,6 +355,20 @@ def engineered(spark, sf):
     return engineer_features(coded_flights(spark, sf), calendar, ranks)
 
 
+_STAGES: dict[tuple[str, str], str] = {}
+
+
+def feature_stage(spark, sf):
+    """Engineered features, written once per session like any other stage."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STAGES:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
+        rows = engineered(spark, sf).withColumn("DEP_HOUR", hour_text("CRS_DEP_TIME"))
+        write_stage(rows, path, "YEAR")
+        _STAGES[key] = path
+    return spark.read.parquet(_STAGES[key])
+
+
 def _feature_output(df):
     return df.select(*[r9(c).alias(c) if c in _ROUNDED else F.col(c) for c in _FEATURE_COLUMNS])
 
@@ -375,5 +393,6 @@ def engineered_features(spark, sf):
     ),
 )
 def rebalanced_features(spark, sf):
-    rows = engineered(spark, sf)
+    """Both passes of the rebalancing read the stage, not the plan that made it."""
+    rows = feature_stage(spark, sf)
     return _feature_output(rebalance(rows, is_holdout=F.col("YEAR") == s.HOLDOUT))

@@ -22,7 +22,7 @@ from delaykit.operators.lookup import keep_listed
 from delaykit.operators.stations import station_shortlist
 from delaykit.operators.timejoin import hour_join, interval_join
 from delaykit.operators.weather import rollup, weather_flags
-from delaykit.plans.joined import build_joined, build_joined_by_interval
+from delaykit.plans.joined import build_joined, build_joined_by_interval, chosen_stations
 
 
 @query(
@@ -37,7 +37,8 @@ def shortlist(spark, sf):
 
 def _near(spark, sf):
     calm = drop_above(s.observations(spark, sf), "value", 200)
-    return calm.join(shortlist(spark, sf).select("ORIGIN", "STATION"), "STATION")
+    chosen = chosen_stations(s.event_flights(spark, sf), s.stations(spark, sf))
+    return calm.join(chosen.select("ORIGIN", "STATION"), "STATION")
 
 
 def _hourly(spark, sf):

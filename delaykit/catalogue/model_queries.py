@@ -9,10 +9,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from delaykit.catalogue import standins as s
-from delaykit.catalogue.feature_queries import engineered
+from delaykit.catalogue.feature_queries import feature_stage
 from delaykit.catalogue.registry import query
 from delaykit.config import LABEL, WEATHER_FLAGS, FeatureSet
-from delaykit.functions.scalars import hour_text
 from delaykit.ml import reports
 from delaykit.ml.estimators import make_estimator, score_rows
 from delaykit.ml.preparation import build_pipeline, feature_names
@@ -50,18 +49,6 @@ def _hold():
     return F.col("YEAR") == s.HOLDOUT
 
 _TIME = "DEP_DATETIME_LAG"
-_STAGES: dict[tuple[str, str], str] = {}
-
-
-def feature_stage(spark, sf):
-    """Engineered features, written once per session like any other stage."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STAGES:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
-        rows = engineered(spark, sf).withColumn("DEP_HOUR", hour_text("CRS_DEP_TIME"))
-        write_stage(rows, path, "YEAR")
-        _STAGES[key] = path
-    return spark.read.parquet(_STAGES[key])
 
 
 def _prepared(spark, sf, name="full", **options):

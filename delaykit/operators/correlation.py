@@ -49,11 +49,13 @@ def pearson_matrix(
     return wide.select(*keys, F.explode(F.array(*cells)).alias("c")).select(*keys, "c.*")
 
 
-def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def spearman_matrix(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
+) -> DataFrame:
     """Pearson of average ranks. Ranks come from counts per distinct value, so a value that
     fills a third of a column is one row, and tables of ranks are joined, not sorted lists."""
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return pearson_matrix(average_ranks(numbers, columns), columns)
+    numbers = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    return pearson_matrix(average_ranks(numbers, columns, keys), columns, keys)
 
 
 def tag_periods(
@@ -67,6 +69,11 @@ def tag_periods(
     return df.withColumn(out, F.explode(F.array_compact(F.array(*tags))))
 
 
+def _tagged(df, columns, period, ranges):
+    needed = df.select(period, *[c for c in columns if c != period])
+    return tag_periods(needed, period, ranges, "period_name")
+
+
 def pearson_by_period(
     df: DataFrame,
     columns: Sequence[str],
@@ -74,8 +81,7 @@ def pearson_by_period(
     ranges: Mapping[str, tuple[int, int] | None],
 ) -> DataFrame:
     """Pearson matrices of several overlapping ranges of periods from one scan."""
-    tagged = tag_periods(df.select(period, *[c for c in columns if c != period]), period, ranges, "period_name")
-    return pearson_matrix(tagged, columns, keys=["period_name"])
+    return pearson_matrix(_tagged(df, columns, period, ranges), columns, ["period_name"])
 
 
 def spearman_by_period(
@@ -85,12 +91,7 @@ def spearman_by_period(
     ranges: Mapping[str, tuple[int, int] | None],
 ) -> DataFrame:
     """Spearman matrices of several ranges; ranks are taken inside each range."""
-    parts = None
-    for name, r in ranges.items():
-        rows = df if r is None else df.filter(F.col(period).between(*r))
-        one = spearman_matrix(rows, columns).withColumn("period_name", F.lit(name))
-        parts = one if parts is None else parts.unionByName(one)
-    return parts
+    return spearman_matrix(_tagged(df, columns, period, ranges), columns, ["period_name"])
 
 
 def versus(matrix: DataFrame, label: str) -> DataFrame:

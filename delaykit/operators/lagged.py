@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.config import TIER_HIGH_DELAY, TIER_LOW_DELAY, TIER_MIDDLE, TIER_QUANTILES
-from delaykit.operators.lookup import fits_broadcast, null_safe_join
+from delaykit.operators.lookup import fits_broadcast, null_safe_join, sized_lookup
 from delaykit.session import cut_lineage
 
 
@@ -28,11 +28,11 @@ def tiers(rates: DataFrame, period: str, rate: str = "perc_delay") -> DataFrame:
 
     Quartiles are exact with linear interpolation, over one row per group.
     """
-    quartiles = rates.groupBy(period).agg(
-        F.percentile(rate, F.array(*[F.lit(q) for q in TIER_QUANTILES])).alias("__q")
+    quartiles = F.percentile(rate, F.array(*[F.lit(q) for q in TIER_QUANTILES])).over(
+        Window.partitionBy(period)
     )
     low, high = F.col("__q")[0], F.col("__q")[1]
-    return null_safe_join(rates, quartiles, [period]).withColumn(
+    return rates.withColumn("__q", quartiles).withColumn(
         "airline_type",
         F.when(F.col(rate) > high, TIER_HIGH_DELAY)
         .when(F.col(rate) < low, TIER_LOW_DELAY)
@@ -78,6 +78,32 @@ def prior_rates(
     return own.unionByName(filled)
 
 
+def carrier_rates(
+    df: DataFrame,
+    period: str = "YEAR",
+    group: str = "OP_UNIQUE_CARRIER",
+    label: str = "DEP_DEL15",
+    row_id: str = "flight_id",
+) -> DataFrame:
+    """:func:`period_rates`, kept: one row per (period, group), from one pass over the rows."""
+    return cut_lineage(period_rates(df, period, group, label, row_id))
+
+
+def apply_rates(
+    df: DataFrame,
+    rates: DataFrame,
+    period: str = "YEAR",
+    group: str = "OP_UNIQUE_CARRIER",
+    first_period: int | None = None,
+    plain_mean: bool = False,
+) -> DataFrame:
+    """Rows with the prior period's figures of their group, broadcast if measured small."""
+    lookup = prior_rates(rates, period, group, first_period, plain_mean)
+    if fits_broadcast(rates):
+        lookup = F.broadcast(lookup)
+    return null_safe_join(df, lookup, [period, group])
+
+
 def carrier_effect(
     df: DataFrame,
     period: str = "YEAR",
@@ -90,14 +116,10 @@ def carrier_effect(
     """Rows with the prior period's delay rate and tier of their group.
 
     One pass over the rows yields a table of one row per (period, group); everything else,
-    the mean that fills gaps included, follows from that table. It is then joined back,
-    broadcast if its measured size allows.
+    the mean that fills gaps included, follows from that table, which is joined back.
     """
-    rates = cut_lineage(period_rates(df, period, group, label, row_id))
-    lookup = prior_rates(rates, period, group, first_period, plain_mean)
-    if fits_broadcast(rates):
-        lookup = F.broadcast(lookup)
-    return null_safe_join(df, lookup, [period, group])
+    rates = carrier_rates(df, period, group, label, row_id)
+    return apply_rates(df, rates, period, group, first_period, plain_mean)
 
 
 def prior_period_join(
@@ -110,10 +132,15 @@ def prior_period_join(
     columns: Sequence[str],
     lag_out: str = "YEARLAG1",
 ) -> DataFrame:
-    """Inner join against values of the period before; rows without one drop out."""
+    """Inner join against values of the period before; rows without one drop out.
+
+    The values are materialised and measured, since a computed table of ranks looks huge to
+    the optimiser and would make it shuffle the rows.
+    """
     right = values.select(
         F.col(value_period).cast("int").alias(lag_out),
         F.col(value_key).alias(key),
         *columns,
     ).distinct()
-    return df.withColumn(lag_out, (F.col(period) - 1).cast("int")).join(right, [lag_out, key])
+    lagged = df.withColumn(lag_out, (F.col(period) - 1).cast("int"))
+    return lagged.join(sized_lookup(right), [lag_out, key])

@@ -145,24 +145,31 @@ def percent_rank(
     return null_safe_join(df, sized_lookup(ranks), [*keys, value])
 
 
-def average_ranks(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Replace each column by its average rank (ties share the mean of their places).
+def average_ranks(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), buckets: int | None = None
+) -> DataFrame:
+    """Replace each column by its average rank (ties share the mean of their places), over
+    the whole table or inside each key.
 
     The ranks of all columns come from one pass over (column, value) counts and are kept
     once; a column with few distinct values is then looked up by broadcast, by its counted
     size, and any other by a shuffle join.
     """
-    columns = list(columns)
-    cells = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
-    long = df.select(F.explode(F.array(*cells)).alias("x")).select("x.c", "x.v")
-    ranks = cut_lineage(value_ranks(long, "v", keys=["c"], buckets=buckets))
+    columns, keys = list(columns), list(keys)
+    cells = [
+        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+        for i, c in enumerate(columns)
+    ]
+    long = df.select(*keys, F.explode(F.array(*cells)).alias("x")).select(*keys, "x.c", "x.v")
+    ranks = cut_lineage(value_ranks(long, "v", keys=[*keys, "c"], buckets=buckets))
     sizes = {r["c"]: r["n"] for r in ranks.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    row_bytes = 32 + 64 * len(keys)
     ranked = df
     for i, c in enumerate(columns):
         mine = ranks.filter(F.col("c") == i).select(
-            F.col("v").alias(c), F.col("__average_rank").alias("__rank")
+            *keys, F.col("v").alias(c), F.col("__average_rank").alias("__rank")
         )
-        if sizes.get(i, 0) * 32 <= BROADCAST_BYTES:
+        if sizes.get(i, 0) * row_bytes <= BROADCAST_BYTES:
             mine = F.broadcast(mine)
-        ranked = null_safe_join(ranked, mine, [c]).drop(c).withColumnRenamed("__rank", c)
+        ranked = null_safe_join(ranked, mine, [*keys, c]).drop(c).withColumnRenamed("__rank", c)
     return ranked

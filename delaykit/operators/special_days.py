@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from delaykit.config import NO_SPECIAL_DAY, SPECIAL_DAY_EFFECTS
 from delaykit.functions.scalars import day_of, slash_date
+from delaykit.operators.lookup import sized_lookup
 
 
 def special_day_effect(
@@ -21,7 +22,7 @@ def special_day_effect(
     )
     return (
         df.withColumn("__on", day_of(F.col(date).cast("string")))
-        .join(days, F.col("__on") == F.col("__day"), "left")
+        .join(sized_lookup(days), F.col("__on") == F.col("__day"), "left")
         .withColumn(out, F.coalesce("__effect", F.lit(NO_SPECIAL_DAY)))
         .drop("__on", "__day", "__effect")
     )

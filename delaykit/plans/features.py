@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from delaykit.config import HOLDOUT_YEAR, LABEL
 from delaykit.functions.scalars import minute_of_day
-from delaykit.operators.lagged import carrier_effect, prior_period_join
+from delaykit.operators.lagged import apply_rates, carrier_rates, prior_period_join
 from delaykit.operators.pagerank import pagerank, period_edges
 from delaykit.operators.sampling import downsample
 from delaykit.operators.special_days import special_day_effect
@@ -34,11 +34,16 @@ def engineer_features(
 ) -> DataFrame:
     """Special days, prior-year carrier figures, previous flight, prior-year PageRank of the
     destination, weather flags. Years without a prior year of PageRank drop out."""
-    # carrier figures first: their pass over the rows then reads four columns of the stage
-    rated = carrier_effect(joined, first_period=first_year)
-    dated = special_day_effect(rated, calendar)
+    rates = carrier_rates(joined)
+    start = rates.agg(F.min("YEAR")).first()[0] if first_year is None else first_year
+    # The tracker reads its rows twice, so it comes first, straight on the stage; rows that
+    # the carrier join would drop (no carrier in the first year) must not count before.
+    rows = joined.filter(
+        (F.col("YEAR") > start)
+        | ((F.col("YEAR") == start) & F.col("OP_UNIQUE_CARRIER").isNotNull())
+    )
     tracked = previous_status(
-        dated,
+        rows,
         LABEL,
         day="FL_DATE",
         unit="TAIL_NUM",
@@ -46,8 +51,9 @@ def engineer_features(
         out="is_prev_delayed",
         tie=tie,
     )
+    dated = special_day_effect(tracked, calendar)
     ranked = prior_period_join(
-        tracked,
+        apply_rates(dated, rates, first_period=start),
         pageranks.withColumn("pagerank", F.col("pagerank").try_cast("double")),
         period="YEAR",
         key="DEST",
