@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from delaykit.config import TIER_HIGH_DELAY, TIER_LOW_DELAY, TIER_MIDDLE, TIER_QUANTILES
 from delaykit.operators.lookup import fits_broadcast, null_safe_join, sized_lookup
+from delaykit.operators.ranks import exact_quantiles
 from delaykit.session import cut_lineage
 
 
@@ -23,21 +24,28 @@ def period_rates(df: DataFrame, period: str, group: str, label: str, row_id: str
     )
 
 
-def tiers(rates: DataFrame, period: str, rate: str = "perc_delay") -> DataFrame:
+def tiers(
+    rates: DataFrame, period: str, rate: str = "perc_delay", many_groups: bool = False
+) -> DataFrame:
     """Add ``airline_type``: strictly outside the period's quartiles of the group rates.
 
-    Quartiles are exact with linear interpolation, over one row per group.
+    Quartiles are exact with linear interpolation, over one row per group. A period's groups
+    pass through one task, unless ``many_groups`` has the quartiles found by place.
     """
-    quartiles = F.percentile(rate, F.array(*[F.lit(q) for q in TIER_QUANTILES])).over(
-        Window.partitionBy(period)
-    )
-    low, high = F.col("__q")[0], F.col("__q")[1]
-    return rates.withColumn("__q", quartiles).withColumn(
+    if many_groups:
+        quartiles = sized_lookup(exact_quantiles(rates, rate, TIER_QUANTILES, keys=[period]))
+        marked = null_safe_join(rates, quartiles, [period])
+    else:
+        pair = F.percentile(rate, F.array(*[F.lit(q) for q in TIER_QUANTILES]))
+        marked = rates.withColumn("__q", pair.over(Window.partitionBy(period))).withColumns(
+            {"q0": F.col("__q")[0], "q1": F.col("__q")[1]}
+        ).drop("__q")
+    return marked.withColumn(
         "airline_type",
-        F.when(F.col(rate) > high, TIER_HIGH_DELAY)
-        .when(F.col(rate) < low, TIER_LOW_DELAY)
+        F.when(F.col(rate) > F.col("q1"), TIER_HIGH_DELAY)
+        .when(F.col(rate) < F.col("q0"), TIER_LOW_DELAY)
         .otherwise(TIER_MIDDLE),
-    ).drop("__q")
+    ).drop("q0", "q1")
 
 
 def prior_rates(
@@ -46,6 +54,7 @@ def prior_rates(
     group: str,
     first_period: int | None = None,
     plain_mean: bool = False,
+    many_groups: bool = False,
 ) -> DataFrame:
     """(period, group) -> perc_delay and airline_type of the prior period, gaps filled.
 
@@ -55,7 +64,7 @@ def prior_rates(
     their own: they are filled like new groups, and left out in the first period.
     """
     start = rates.agg(F.min(period)).scalar() if first_period is None else F.lit(first_period)
-    known = tiers(rates.filter(F.col(group).isNotNull()), period)
+    known = tiers(rates.filter(F.col(group).isNotNull()), period, many_groups=many_groups)
 
     own = known.filter(F.col(period) == start).select(period, group, "perc_delay", "airline_type")
     prior = known.select(
@@ -65,14 +74,17 @@ def prior_rates(
     joined = later.join(prior, [period, group], "left")
 
     weight = F.when(F.col("perc_delay").isNotNull(), F.lit(1) if plain_mean else F.col("n_rows"))
-    here = Window.partitionBy(period)
-    mean = F.try_divide(
-        F.sum(F.col("perc_delay") * weight).over(here), F.sum(weight).over(here)
-    )
+    total, weights = F.sum(F.col("perc_delay") * weight), F.sum(weight)
+    if many_groups:
+        means = joined.groupBy(period).agg(F.try_divide(total, weights).alias("__mean"))
+        joined = null_safe_join(joined, sized_lookup(means), [period])
+    else:
+        here = Window.partitionBy(period)
+        joined = joined.withColumn("__mean", F.try_divide(total.over(here), weights.over(here)))
     filled = joined.select(
         period,
         group,
-        F.coalesce("perc_delay", mean).alias("perc_delay"),
+        F.coalesce("perc_delay", "__mean").alias("perc_delay"),
         F.coalesce("airline_type", F.lit(TIER_MIDDLE)).alias("airline_type"),
     )
     return own.unionByName(filled)
@@ -97,11 +109,14 @@ def apply_rates(
     first_period: int | None = None,
     plain_mean: bool = False,
 ) -> DataFrame:
-    """Rows with the prior period's figures of their group, broadcast if measured small."""
-    lookup = prior_rates(rates, period, group, first_period, plain_mean)
-    if fits_broadcast(rates):
-        lookup = F.broadcast(lookup)
-    return null_safe_join(df, lookup, [period, group])
+    """Rows with the prior period's figures of their group.
+
+    A measured-small table of rates is worked on per period and broadcast. A large one (many
+    groups) is spread over tasks throughout and joined by shuffle.
+    """
+    small = fits_broadcast(rates)
+    lookup = prior_rates(rates, period, group, first_period, plain_mean, many_groups=not small)
+    return null_safe_join(df, F.broadcast(lookup) if small else lookup, [period, group])
 
 
 def carrier_effect(

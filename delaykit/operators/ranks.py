@@ -22,39 +22,39 @@ MAX_BUCKETS = 2000
 _BELOW_ALL = -(2**62)
 
 
-def _time_bucket(df: DataFrame, value: str) -> Column | None:
+def _as_number(df: DataFrame, value: str) -> Column:
+    """A double that never decreases as the value grows, free of the session zone."""
     kind = df.schema[value].dataType
-    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
-        hours = F.unix_date(F.to_date(value)) * 24 + F.hour(value)
-        return hours.cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        of_day = F.hour(value) * 3600 + F.minute(value) * 60
+        second = F.extract(F.lit("SECOND"), value).cast("double")
+        return F.unix_date(F.to_date(value)).cast("double") * 86400 + of_day + second
     if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("long")
-    return None
+        return F.unix_date(value).cast("double")
+    return F.col(value).cast("double")
 
 
 def _with_bucket(df: DataFrame, source: DataFrame, value: str, buckets: int | None) -> DataFrame:
-    """Add ``__bucket``: whole numbers that never decrease as the value grows, null first."""
-    by_time = _time_bucket(df, value)
-    if by_time is not None:
-        return df.withColumn("__bucket", F.coalesce(by_time, F.lit(_BELOW_ALL)))
+    """Add ``__bucket``: whole numbers that never decrease as the value grows, null first.
+
+    The cuts are approximate quantiles of the rows, so every bucket holds about the same
+    share of them (or one value); only the cuts themselves reach the driver.
+    """
     wanted = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(2, min(wanted, MAX_BUCKETS))
-    number = F.col(value).cast("double")
-    cuts = source.select(number.alias("__x")).approxQuantile(
-        "__x", [i / wanted for i in range(1, wanted)], 1.0 / (4 * wanted)
+    cuts = source.select(_as_number(source, value).alias("__x")).approxQuantile(
+        "__x", [i / wanted for i in range(1, wanted)], 1.0 / (2 * wanted)
     )
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     if len(splits) < 3:
         splits.insert(1, 0.0)
-    cutter = Bucketizer(
-        splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep"
-    )
+    cutter = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep")
+    bucket = F.when(F.col("__x").isNull(), F.lit(_BELOW_ALL)).otherwise(F.col("__b").cast("long"))
     return (
-        cutter.transform(df.withColumn("__x", number))
-        .withColumn(
-            "__bucket",
-            F.when(F.col("__x").isNull(), F.lit(_BELOW_ALL)).otherwise(F.col("__b").cast("long")),
-        )
+        cutter.transform(df.withColumn("__x", _as_number(df, value)))
+        .withColumn("__bucket", bucket)
         .drop("__x", "__b")
     )
 
@@ -115,6 +115,33 @@ def running_totals(
     )
 
 
+def exact_quantiles(
+    df: DataFrame, value: str, quantiles: Sequence[float], keys: Sequence[str] = ()
+) -> DataFrame:
+    """(keys, q0, q1, ...): exact quantiles with linear interpolation, found by place.
+
+    The values on both sides of each quantile are picked out of the running counts, so no
+    task has to hold a whole key. Null values are left out.
+    """
+    keys = list(keys)
+    known = df.filter(F.col(value).isNotNull())
+    totals = running_totals(known.select(*keys, value), value, {"__n": F.lit(1)}, keys=keys)
+    picks = []
+    for i, q in enumerate(quantiles):
+        place = (F.col("__n_all") - 1) * F.lit(float(q))
+        for side, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            here = (F.col("__n_before") <= at) & (at < F.col("__n_before") + F.col("__n"))
+            picks.append(F.max(F.when(here, F.col(value).cast("double"))).alias(f"__{side}{i}"))
+    grouped = totals.groupBy(*keys) if keys else totals
+    found = grouped.agg(*picks, F.max("__n_all").alias("__n_all"))
+    columns = []
+    for i, q in enumerate(quantiles):
+        place = (F.col("__n_all") - 1) * F.lit(float(q))
+        low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        columns.append((low + (high - low) * (place - F.floor(place))).alias(f"q{i}"))
+    return found.select(*keys, *columns)
+
+
 def value_ranks(
     df: DataFrame, value: str, keys: Sequence[str] = (), buckets: int | None = None
 ) -> DataFrame:

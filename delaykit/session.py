@@ -10,7 +10,7 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(app: str = "delaykit", master: str | None = None, **conf) -> SparkSession:
-    """Session with adaptive execution and a UTC clock; ``conf`` uses ``_`` for ``.``-free keys.
+    """Session with adaptive execution and a UTC clock; ``conf`` holds further settings.
 
     On a cluster leave ``master`` unset so that spark-submit decides, and pass the shared
     checkpoint folder as ``spark.checkpoint.dir``.

@@ -103,3 +103,24 @@ def test_calendar_rules(spark):
     assert ("SunAfterThanksgiving", "11/25/2018") in days and ("Thanksgiving_m1", "11/25/2020") in days
     assert ("Christmas_m3", "12/22/2018") in days and ("Christmas_p3", "12/28/2020") in days
     assert len(days) == 22 and dt.date(2018, 11, 22).weekday() == 3
+
+
+def test_many_groups_give_the_same_figures(spark):
+    import random
+
+    rng = random.Random(9)
+    counts = {}
+    for year in (2015, 2016, 2017):
+        for c in range(60):
+            if rng.random() < 0.8:
+                n = rng.randrange(1, 9)
+                counts[year, f"c{c}"] = (n, rng.randrange(n + 1))
+    from delaykit.operators.lagged import carrier_rates, prior_rates
+
+    rates = carrier_rates(flights(spark, counts))
+    few, many = (
+        {(r[0], r[1]): (round(r[2], 9), r[3]) for r in
+         prior_rates(rates, "YEAR", "OP_UNIQUE_CARRIER", many_groups=m).collect()}
+        for m in (False, True)
+    )
+    assert few == many and len(few) == len(counts)

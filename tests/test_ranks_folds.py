@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from delaykit.operators.folds import block_bounds, blocking_folds, period_folds, time_split
-from delaykit.operators.ranks import average_ranks, percent_rank, running_totals
+from delaykit.operators.ranks import average_ranks, exact_quantiles, percent_rank, running_totals
 
 
 def _values(kind, n=900, seed=5):
@@ -102,3 +102,30 @@ def test_period_folds_and_time_split(spark):
     assert n["test"] == 20 and n["train"] == 140 and n["validate"] == 40
     own = time_split(df, "t", F.col("id") >= 180, rank_holdout=False)
     assert {r["split"]: r["count"] for r in own.groupBy("split").count().collect()}["train"] == 126
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    df = spark.createDataFrame(_values("double"), "id int, k string, x double")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    expected = {
+        r["k"]: r["q"]
+        for r in df.groupBy("k").agg(F.percentile("x", F.array(*[F.lit(q) for q in qs])).alias("q")).collect()
+    }
+    got = {r["k"]: [r[f"q{i}"] for i in range(len(qs))] for r in exact_quantiles(df, "x", qs, ["k"]).collect()}
+    assert got.keys() == expected.keys()
+    for k, values in expected.items():
+        assert all(abs(a - b) <= 1e-9 * max(1, abs(b)) for a, b in zip(got[k], values))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_clock_changes_do_not_disturb_ranks(spark, zone):
+    """Zone-less times in the hour a zone skips keep their order in any session zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        start = dt.datetime(2019, 3, 10)
+        df = spark.createDataFrame([(i, start + dt.timedelta(minutes=10 * i)) for i in range(60)], "id int, t timestamp_ntz")
+        got = [r["id"] for r in percent_rank(df, "t", "p", buckets=30).orderBy("p").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == list(range(60))

@@ -74,7 +74,14 @@ def main(argv):
     folder = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     wanted = argv[2:] or list(REGISTRY)
     conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"}
-    spark = build_session("check", "local[8]", **conf)
+    if os.environ.get("PLAIN_SESSION"):  # a session that knows nothing of this library
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config(
+            "spark.sql.shuffle.partitions", "8"
+        ).getOrCreate()
+    else:
+        spark = build_session("check", "local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     bad = 0
