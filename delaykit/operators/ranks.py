@@ -9,6 +9,7 @@ up in parallel.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -36,20 +37,37 @@ def _as_number(df: DataFrame, value: str) -> Column:
     return F.col(value).cast("double")
 
 
-def _with_bucket(df: DataFrame, source: DataFrame, value: str, buckets: int | None) -> DataFrame:
-    """Add ``__bucket``: whole numbers that never decrease as the value grows, null first.
+@dataclass(frozen=True)
+class Profile:
+    """Quantile cuts of a column and the estimated number of its distinct values."""
+
+    cuts: tuple[float, ...]
+    n_values: int
+
+
+def profile(
+    df: DataFrame, value: str, keys: Sequence[str] = (), buckets: int | None = None
+) -> Profile:
+    """One narrow pass; only the cuts and one estimate reach the driver.
 
     The cuts are approximate quantiles of the rows, so every bucket holds about the same
-    share of them (or one value); only the cuts themselves reach the driver.
+    share of them (or one value).
     """
     wanted = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(2, min(wanted, MAX_BUCKETS))
-    cuts = source.select(_as_number(source, value).alias("__x")).approxQuantile(
-        "__x", [i / wanted for i in range(1, wanted)], 1.0 / (2 * wanted)
-    )
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
+    row = df.agg(
+        F.percentile_approx(
+            _as_number(df, value), [i / wanted for i in range(1, wanted)], 2 * wanted
+        ).alias("cuts"),
+        F.approx_count_distinct(F.struct(*keys, value)).alias("n"),
+    ).first()
+    cuts = {float(c) for c in row["cuts"] or [] if c == c and abs(c) != float("inf")}
+    return Profile(tuple(sorted(cuts)) or (0.0,), row["n"])
+
+
+def _with_bucket(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
+    """Add ``__bucket``: whole numbers that never decrease as the value grows, null first."""
+    splits = [float("-inf"), *cuts, float("inf")]
     cutter = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep")
     bucket = F.when(F.col("__x").isNull(), F.lit(_BELOW_ALL)).otherwise(F.col("__b").cast("long"))
     return (
@@ -65,6 +83,7 @@ def running_totals(
     measures: dict[str, Column],
     keys: Sequence[str] = (),
     buckets: int | None = None,
+    known: Profile | None = None,
 ) -> DataFrame:
     """One row per (keys, value) with, for each measure m, ``m`` (total at this value),
     ``m_before`` (total over smaller values) and ``m_all`` (total over the key).
@@ -72,9 +91,10 @@ def running_totals(
     Null values sort first, as in a Spark window. Measures must be non-null sums.
     """
     keys = list(keys)
+    known = known or profile(df, value, keys, buckets)
     names = list(measures)
     per_value = df.groupBy(*keys, value).agg(*[F.sum(c).alias(m) for m, c in measures.items()])
-    bucketed = _with_bucket(per_value, df, value, buckets)
+    bucketed = _with_bucket(per_value, value, known.cuts)
     part = []
     if keys:
         part = ["__key"]
@@ -143,11 +163,15 @@ def exact_quantiles(
 
 
 def value_ranks(
-    df: DataFrame, value: str, keys: Sequence[str] = (), buckets: int | None = None
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str] = (),
+    buckets: int | None = None,
+    known: Profile | None = None,
 ) -> DataFrame:
-    """Per distinct (keys, value): percent rank, average rank and row counts."""
+    """Per distinct (keys, value): percent rank and average rank."""
     totals = running_totals(
-        df.select(*keys, value), value, {"__n": F.lit(1)}, keys=keys, buckets=buckets
+        df.select(*keys, value), value, {"__n": F.lit(1)}, keys, buckets, known
     )
     before, here, total = F.col("__n_before"), F.col("__n"), F.col("__n_all")
     return totals.select(
@@ -165,11 +189,17 @@ def percent_rank(
     keys: Sequence[str] = (),
     buckets: int | None = None,
 ) -> DataFrame:
-    """``percent_rank()`` over the whole table, or over each key, without a one-task sort."""
-    ranks = value_ranks(df, value, keys, buckets).select(
+    """``percent_rank()`` over the whole table, or over each key, without a one-task sort.
+
+    If the values look few, their ranks are materialised, measured and broadcast; a column of
+    mostly distinct values is joined back by shuffle.
+    """
+    known = profile(df, value, keys, buckets)
+    ranks = value_ranks(df, value, keys, buckets, known).select(
         *keys, value, F.col("__percent_rank").alias(out)
     )
-    return null_safe_join(df, sized_lookup(ranks), [*keys, value])
+    few = known.n_values * (32 + 32 * len(keys)) <= BROADCAST_BYTES
+    return null_safe_join(df, sized_lookup(ranks) if few else ranks, [*keys, value])
 
 
 def average_ranks(

@@ -129,3 +129,16 @@ def test_clock_changes_do_not_disturb_ranks(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == list(range(60))
+
+
+def test_many_values_are_joined_by_shuffle(spark, monkeypatch):
+    from delaykit.operators import ranks
+
+    df = spark.createDataFrame(_values("double"), "id int, k string, x double")
+    expected = {r["id"]: r["p"] for r in percent_rank(df, "x", "p").collect()}
+    monkeypatch.setattr(ranks, "BROADCAST_BYTES", 10)
+    plan = percent_rank(df, "x", "p")
+    assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
+    assert {r["id"]: r["p"] for r in plan.collect()} == expected
+    both = average_ranks(df.select("x", F.col("id").alias("i")), ["x", "i"])
+    assert both.count() == df.count()
