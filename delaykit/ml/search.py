@@ -95,7 +95,7 @@ def blocking_search(
 
         tasks = list(product(grid, numbers))
         with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-            done = pool.map(inheritable_thread_target(run), tasks)
+            done = pool.map(inheritable_thread_target(spark)(run), tasks)
     finally:
         rows.unpersist()
 
