@@ -59,7 +59,7 @@ def profile(
         F.percentile_approx(
             _as_number(df, value), [i / wanted for i in range(1, wanted)], 2 * wanted
         ).alias("cuts"),
-        F.approx_count_distinct(F.struct(*keys, value)).alias("n"),
+        F.approx_count_distinct(F.xxhash64(*keys, value)).alias("n"),
     ).first()
     cuts = {float(c) for c in row["cuts"] or [] if c == c and abs(c) != float("inf")}
     return Profile(tuple(sorted(cuts)) or (0.0,), row["n"])
