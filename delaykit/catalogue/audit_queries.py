@@ -38,6 +38,26 @@ def dedup_projected(spark, sf):
     return exact_dedup(lineitem.unionByName(lineitem), ["l_orderkey", "l_linenumber", "l_returnflag"])
 
 
+@query(
+    "dedup_nulls",
+    """WITH swapped AS (
+  SELECT l_orderkey, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber END AS a,
+         CASE WHEN l_linenumber % 2 = 1 THEN l_linenumber END AS b,
+         CASE WHEN l_quantity > 25 THEN l_linenumber + 1 - l_linenumber % 2 END AS c
+  FROM lineitem)
+SELECT l_orderkey FROM (SELECT DISTINCT * FROM (SELECT * FROM swapped UNION ALL SELECT * FROM swapped))""",
+)
+def dedup_nulls(spark, sf):
+    """Rows that differ only in where their nulls sit stay apart, in columns that go afterwards."""
+    (lineitem,) = tables(spark, sf, "lineitem")
+    n = F.col("l_linenumber")
+    swapped = lineitem.select(
+        "l_orderkey", F.when(n % 2 == 0, n).alias("a"), F.when(n % 2 == 1, n).alias("b"),
+        F.when(F.col("l_quantity") > 25, n + 1 - n % 2).alias("c"),
+    )
+    return exact_dedup(swapped.unionByName(swapped), ["l_orderkey"])
+
+
 @query(
     "key_audit",
     """SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys,

@@ -8,7 +8,7 @@ from delaykit.catalogue import standins as s
 from delaykit.catalogue.registry import query, r9
 from delaykit.ml.estimators import naive_predictions
 from delaykit.operators import metrics
-from delaykit.plans.analysis import ensemble_report
+from delaykit.plans.analysis import ensemble_report, error_report
 
 _SCORE_SQL = """
        round(precision, 9) AS precision, round(recall, 9) AS recall,
@@ -198,17 +198,20 @@ def result_shares(spark, sf):
     return shares.withColumn("percentage", r9("percentage"))
 
 
+_SLICED = ["o_orderpriority", "month", "weekday", "quarter", "region", "is_large"]
+
+
 @query(
     "error_slices",
-    f"""WITH {s.SCORED_SQL}, {_TYPED}
-SELECT 'o_orderpriority' AS feature, o_orderpriority AS value, r_type, count(*) AS n_rows
-FROM typed GROUP BY ALL
-UNION ALL SELECT 'month', CAST(month AS VARCHAR), r_type, count(*) FROM typed GROUP BY ALL""",
+    f"WITH {s.SCORED_SQL}, {_TYPED}\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, r_type, count(*) AS n_rows FROM typed GROUP BY ALL"
+        for c in _SLICED
+    ),
 )
 def error_slices(spark, sf):
-    return metrics.error_slices(
-        _predicted(spark, sf), "label", "prediction", ["o_orderpriority", "month"]
-    )
+    """Shares and slices come from the report; the shares have a query of their own."""
+    return error_report(_predicted(spark, sf), "label", _SLICED)[1]
 
 
 @query(

@@ -90,13 +90,13 @@ def model_lr(spark, sf):
 
 @query("model_gbt")
 def model_gbt(spark, sf):
-    grid = expand_grid({"maxIter": [3], "maxDepth": [3], "maxBins": [32], "stepSize": [0.5]})
-    return _shown(_search(spark, sf, "gbt", grid, one_hot=False)[1].metrics)
+    grid = expand_grid({"maxIter": [5], "maxDepth": [4], "maxBins": [32], "stepSize": [0.5, 0.1]})
+    return _shown(_search(spark, sf, "gbt", grid, (0.5, 0.6, 0.7), one_hot=False)[1].metrics)
 
 
 @query("model_rf")
 def model_rf(spark, sf):
-    grid = expand_grid({"numTrees": [5], "maxDepth": [4], "maxBins": [32]})
+    grid = expand_grid({"numTrees": [10], "maxDepth": [4], "maxBins": [32]})
     return _shown(_search(spark, sf, "rf", grid, one_hot=False)[1].metrics)
 
 
@@ -110,10 +110,12 @@ def model_svm(spark, sf):
 def model_mlp(spark, sf):
     prepared = _prepared(spark, sf, one_hot=True, scale=True)
     width = len(feature_names(prepared.train))
-    grid = [{"layers": [width, 8, 2], "maxIter": 5, "blockSize": 128, "stepSize": 0.5}]
-    found = blocking_search(
-        prepared.train, "mlp", grid, LABEL, (0.3, 0.5), "scaledFeatures", parallelism=4
-    )
+    grid = [
+        {"layers": layers, "maxIter": 100, "blockSize": 128, "stepSize": 0.5}
+        for layers in ([width, 15, 2], [width, 30, 15, 2])
+    ]
+    cuts = (0.5, 0.6, 0.7, 0.8)
+    found = blocking_search(prepared.train, "mlp", grid, LABEL, cuts, "scaledFeatures", parallelism=4)
     return _shown(found.metrics)
 
 
@@ -126,8 +128,8 @@ def model_lr_by_year(spark, sf):
 @query("kfold_cv")
 def kfold_cv(spark, sf):
     prepared = _prepared(spark, sf, "baseline")
-    grid = {"regParam": [0.01, 0.5], "elasticNetParam": [0.0, 1.0], "maxIter": [3]}
-    return kfold_search(prepared.train, "lr", grid, LABEL, folds=2, parallelism=4)[1]
+    grid = {"regParam": [0.01, 0.5, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [1, 5, 10]}
+    return kfold_search(prepared.train, "lr", grid, LABEL, folds=5, parallelism=4)[1]
 
 
 def _lr_grid(spark, sf):
@@ -147,13 +149,14 @@ def grid_means(spark, sf):
 
 @query("best_setting")
 def best_setting(spark, sf):
-    return _shown(best_row(_lr_grid(spark, sf)[1].metrics))
+    found = _lr_grid(spark, sf)[1]
+    return _shown(best_row(found.metrics, n_folds=found.n_folds))
 
 
 @query("holdout_eval")
 def holdout_eval(spark, sf):
     prepared, found = _lr_grid(spark, sf)
-    chosen = top_settings(found.metrics, 3)
+    chosen = top_settings(found.metrics, 20, n_folds=found.n_folds)
     return _shown(holdout_metrics(chosen, found.models, prepared.holdout, LABEL))
 
 
@@ -176,7 +179,7 @@ def holdout_dropped(spark, sf):
 @query("prediction_sink")
 def prediction_sink(spark, sf):
     prepared, found = _lr_grid(spark, sf)
-    model, threshold, _ = best_model(found.metrics, found.models)
+    model, threshold, _ = best_model(found)
     path = f"{checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
     columns = ["flight_id", LABEL, "prediction", "predicted_probability", "probability"]
     write_stage(predict_holdout(model, threshold, prepared.holdout).select(*columns), path)
@@ -186,7 +189,7 @@ def prediction_sink(spark, sf):
 @query("feature_importance")
 def importance(spark, sf):
     prepared = _prepared(spark, sf, one_hot=False)
-    model = make_estimator("gbt", {"maxIter": 3, "maxDepth": 3}, LABEL).fit(prepared.train)
+    model = make_estimator("gbt", {"maxIter": 5, "maxDepth": 4, "maxBins": 32, "stepSize": 0.5}, LABEL).fit(prepared.train)
     return reports.feature_importance(spark, model, feature_names(prepared.train))
 
 
@@ -200,7 +203,7 @@ def coefficients(spark, sf):
 @query("gbt_report")
 def gbt_report(spark, sf):
     prepared = _prepared(spark, sf, one_hot=False)
-    model = make_estimator("gbt", {"maxIter": 3, "maxDepth": 3}, LABEL).fit(prepared.train)
+    model = make_estimator("gbt", {"maxIter": 5, "maxDepth": 4, "maxBins": 32, "stepSize": 0.5}, LABEL).fit(prepared.train)
     losses = reports.boosting_loss(model, prepared.train)
     trees = reports.tree_ensemble_report(spark, model)
     return trees.join(losses, F.col("tree") + 1 == F.col("iteration")).drop("iteration")
@@ -210,7 +213,15 @@ def gbt_report(spark, sf):
 def training_curves(spark, sf):
     prepared = _prepared(spark, sf)
     model = make_estimator("lr", {"maxIter": 5}, LABEL).fit(prepared.train)
-    return reports.training_thresholds(model)
+    return reports.training_curve(model, prepared.train, LABEL)
+
+
+@query("training_roc")
+def training_roc(spark, sf):
+    """Exact ROC points and the area below, on the scored training rows."""
+    prepared = _prepared(spark, sf)
+    model = make_estimator("lr", {"maxIter": 5}, LABEL).fit(prepared.train)
+    return reports.training_roc(model, prepared.train, LABEL)
 
 
 @query("training_loss")

@@ -16,7 +16,7 @@ from delaykit.operators.sampling import (
     upsample,
 )
 
-_HASH = "('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::UBIGINT / 4294967296.0"
+_HASH = "('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 13))::UBIGINT / 4503599627370496.0"
 def _hold():
     return F.col("YEAR") == s.HOLDOUT
 

@@ -280,6 +280,8 @@ def nation_zones(spark: SparkSession, sf: str) -> DataFrame:
 SCORED_SQL = """
 scored AS (
   SELECT o_orderkey, o_custkey, o_orderpriority, CAST(month(o_orderdate) AS INTEGER) AS month,
+         CAST(isodow(o_orderdate) AS INTEGER) AS weekday, CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
+         CAST(o_custkey % 5 AS INTEGER) AS region, o_totalprice > 200000 AS is_large,
          CAST(o_orderstatus = 'F' AS INTEGER)::DOUBLE AS label,
          CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS DOUBLE) / 1000 AS score
   FROM orders
@@ -294,6 +296,10 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
         "o_custkey",
         "o_orderpriority",
         F.month("o_orderdate").alias("month"),
+        (F.weekday("o_orderdate") + 1).alias("weekday"),
+        F.quarter("o_orderdate").alias("quarter"),
+        (F.col("o_custkey") % 5).cast("int").alias("region"),
+        (F.col("o_totalprice") > 200000).alias("is_large"),
         (F.col("o_orderstatus") == "F").cast("double").alias("label"),
         ((F.floor("o_totalprice") % 1000).cast("double") / 1000).alias("score"),
     )

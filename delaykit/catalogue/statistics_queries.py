@@ -69,6 +69,35 @@ def spearman_matrix(spark, sf):
     return table.withColumn("corr", F.round("corr", 6))
 
 
+@query(
+    "spearman_nulls",
+    """WITH holes AS (
+  SELECT CASE WHEN l_linenumber % 2 = 0 THEN l_quantity END AS a, l_quantity AS b,
+         CASE WHEN l_linenumber % 3 > 0 THEN l_extendedprice END AS c FROM lineitem),
+ranked AS (
+  SELECT CASE WHEN a IS NOT NULL THEN rank() OVER (PARTITION BY a IS NULL ORDER BY a)
+           + (count(*) OVER (PARTITION BY a) - 1) / 2 END::DOUBLE AS a,
+         CASE WHEN b IS NOT NULL THEN rank() OVER (PARTITION BY b IS NULL ORDER BY b)
+           + (count(*) OVER (PARTITION BY b) - 1) / 2 END::DOUBLE AS b,
+         CASE WHEN c IS NOT NULL THEN rank() OVER (PARTITION BY c IS NULL ORDER BY c)
+           + (count(*) OVER (PARTITION BY c) - 1) / 2 END::DOUBLE AS c FROM holes)
+SELECT unnest(['a', 'a', 'a', 'b', 'b', 'b', 'c', 'c', 'c']) AS row_name,
+       unnest(['a', 'b', 'c', 'a', 'b', 'c', 'a', 'b', 'c']) AS col_name,
+       unnest([x[1], x[2], x[3], x[2], x[4], x[5], x[3], x[5], x[6]]) AS corr
+FROM (SELECT [round(corr(a, a), 6), round(corr(a, b), 6), round(corr(a, c), 6), round(corr(b, b), 6),
+              round(corr(b, c), 6), round(corr(c, c), 6)] AS x FROM ranked)""",
+)
+def spearman_nulls(spark, sf):
+    (lineitem,) = tables(spark, sf, "lineitem")
+    n = F.col("l_linenumber")
+    holes = lineitem.select(
+        F.when(n % 2 == 0, F.col("l_quantity")).alias("a"),
+        F.col("l_quantity").alias("b"),
+        F.when(n % 3 > 0, F.col("l_extendedprice")).alias("c"),
+    )
+    return correlation.spearman_matrix(holes, ["a", "b", "c"]).withColumn("corr", F.round("corr", 6))
+
+
 _PERIODS = {"all": None, "1996-1999": (1996, 1999), "1998-1999": (1998, 1999), "2001": (2001, 2001)}
 
 
@@ -88,20 +117,17 @@ def pearson_by_period(spark, sf):
     return table.withColumn("corr", F.round("corr", 6))
 
 
-_TWO_PERIODS = {"1996-1999": (1996, 1999), "2001": (2001, 2001)}
-
-
 @query(
     "spearman_by_period",
     "\nUNION ALL\n".join(
         f"SELECT * FROM (WITH {_LINES}, {_RANKED.format(where=_where(r))}\n"
         + _matrix_sql("ranked", f"'{name}' AS period_name, ")
         + ")"
-        for name, r in _TWO_PERIODS.items()
+        for name, r in _PERIODS.items()
     ),
 )
 def spearman_by_period(spark, sf):
-    table = correlation.spearman_by_period(_lines(spark, sf), _COLUMNS, "y", _TWO_PERIODS)
+    table = correlation.spearman_by_period(_lines(spark, sf), _COLUMNS, "y", _PERIODS)
     return table.withColumn("corr", F.round("corr", 6))
 
 

@@ -10,9 +10,7 @@ from dataclasses import dataclass, field
 
 LABEL = "DEP_DEL15"
 HOLDOUT_YEAR = 2021
-FIRST_YEAR = 2015
 SAMPLE_SEED = 261
-SPLIT_SEED = 100
 
 MAX_WIND_SPEED = 200
 WEATHER_LEAD_HOURS = 2
@@ -57,15 +55,6 @@ SPECIAL_DAY_EFFECTS = {
     "MA_ShelterInPlace": "NotBusy",
 }
 
-FLIGHT_COLUMNS = [
-    "QUARTER", "MONTH", "DAY_OF_MONTH", "DAY_OF_WEEK", "FL_DATE",
-    "OP_UNIQUE_CARRIER", "TAIL_NUM", "OP_CARRIER_FL_NUM",
-    "ORIGIN_AIRPORT_ID", "ORIGIN_AIRPORT_SEQ_ID", "ORIGIN", "ORIGIN_STATE_ABR", "ORIGIN_WAC",
-    "DEST", "DEST_AIRPORT_ID", "DEST_AIRPORT_SEQ_ID", "DEST_STATE_ABR", "DEST_WAC",
-    "CRS_DEP_TIME", "DEP_TIME", "DEP_DEL15", "DEP_DELAY",
-    "DIVERTED", "DIV_AIRPORT_LANDINGS", "CANCELLED", "CANCELLATION_CODE",
-    "CRS_ELAPSED_TIME", "DISTANCE", "YEAR",
-]
 
 WEATHER_MEASURES = [
     "HourlyAltimeterSetting", "HourlyDewPointTemperature", "HourlyWetBulbTemperature",
@@ -78,6 +67,7 @@ FLIGHT_ID_PARTS = [
     "OP_CARRIER_FL_NUM", "OP_UNIQUE_CARRIER", "DEP_TIME_CLEANED",
 ]
 
+# The published ranges of years.
 CORRELATION_PERIODS = {
     "all": None,
     "2016-2019": (2016, 2019),
@@ -101,6 +91,7 @@ class FeatureSet:
         object.__setattr__(self, "columns", self.categoricals + self.numerics)
 
 
+# The published feature sets.
 _CALENDAR = ("QUARTER", "MONTH", "DAY_OF_WEEK", "OP_UNIQUE_CARRIER", "DEP_HOUR")
 _FLAGS = tuple(WEATHER_FLAGS)
 _WEATHER = ("ELEVATION",) + tuple(WEATHER_MEASURES)

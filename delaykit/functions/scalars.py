@@ -112,7 +112,7 @@ def unit_hash(*keys: Col, salt: str = "") -> Column:
     text = F.concat_ws("|", *[as_col(k).cast("string") for k in keys])
     if salt:
         text = F.concat(F.lit(salt), text)
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
 # -- scores ------------------------------------------------------------------
@@ -133,10 +133,3 @@ def f_beta(beta: float, precision: Col, recall: Col) -> Column:
 
 def add_up(columns: Sequence[Col]) -> Column:
     return reduce(lambda a, b: a + b, [as_col(c) for c in columns])
-
-
-def positive_probability(probability: Col = "probability") -> Column:
-    """Second entry of a two-class probability vector."""
-    from pyspark.ml.functions import vector_to_array
-
-    return vector_to_array(as_col(probability))[1]

@@ -17,24 +17,16 @@ from pyspark.sql import functions as F
 
 from delaykit.config import FeatureSet
 
-MAX_CATEGORIES = 1000
 
+def cardinality(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Estimated distinct values per categorical.
 
-def check_cardinality(
-    df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES
-) -> dict[str, int]:
-    """Distinct values per categorical; raises above the limit.
-
-    An indexer keeps its labels in one model, so a column such as a tail number has to be
-    left out (or rolled up) before it gets there.
+    An indexer keeps its labels in one model; a caller can see here which columns (a tail
+    number, say) would make it large.
     """
     if not columns:
         return {}
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    wide = {c: n for c, n in counts.items() if n > limit}
-    if wide:
-        raise ValueError(f"too many categories: {wide}; limit {limit}")
-    return counts
+    return df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
 
 
 def preparation_stages(
@@ -76,10 +68,8 @@ def build_pipeline(
     one_hot: bool = True,
     impute: bool = False,
     scale: bool = False,
-    max_categories: int = MAX_CATEGORIES,
 ) -> PipelineModel:
     """Fit the preparation on training rows only."""
-    check_cardinality(train, features.categoricals, max_categories)
     needed = train.select(*features.columns)
     return Pipeline(stages=preparation_stages(features, one_hot, impute, scale)).fit(needed)
 

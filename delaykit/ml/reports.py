@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaykit.functions.scalars import f_beta
+from delaykit.ml.estimators import score_rows
+from delaykit.operators.metrics import area_under_roc, score_curve
 
 
 def feature_importance(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
@@ -46,19 +47,21 @@ def training_loss(spark: SparkSession, model) -> DataFrame:
     )
 
 
-def training_area(spark: SparkSession, model) -> DataFrame:
-    return spark.createDataFrame([(float(model.summary.areaUnderROC),)], "auc double")
+def training_area(model, rows: DataFrame, label: str) -> DataFrame:
+    """Exact area under the ROC curve on the given (training) rows."""
+    return area_under_roc(score_rows(model, rows), label, "predicted_probability")
 
 
-def training_roc(model) -> DataFrame:
-    return model.summary.roc
+def training_roc(model, rows: DataFrame, label: str) -> DataFrame:
+    """ROC points, one per distinct score; a model's own summary would thin them out."""
+    curve = score_curve(score_rows(model, rows), label, "predicted_probability")
+    return curve.select("threshold", "fpr", "tpr")
 
 
-def training_thresholds(model) -> DataFrame:
-    """Precision, recall and F0.5 by threshold from the training summary."""
-    summary = model.summary
-    joined = summary.precisionByThreshold.join(summary.recallByThreshold, "threshold")
-    return joined.withColumn("F05", f_beta(0.5, "precision", "recall"))
+def training_curve(model, rows: DataFrame, label: str) -> DataFrame:
+    """Precision, recall and F0.5 at every distinct score of the given (training) rows."""
+    curve = score_curve(score_rows(model, rows), label, "predicted_probability")
+    return curve.select("threshold", "precision", "recall", F.col("f05").alias("F05"))
 
 
 def save_model(model, path: str) -> None:

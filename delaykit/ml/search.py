@@ -41,6 +41,7 @@ class SearchResult:
     metrics: DataFrame
     models: dict[str, object]
     failures: DataFrame
+    n_folds: int
 
 
 def expand_grid(grid: Mapping[str, Sequence[object]]) -> list[dict[str, object]]:
@@ -91,7 +92,7 @@ def blocking_search(
                 ]
                 return model_id, model, found, None
             except Exception as error:  # noqa: BLE001 - reported, not swallowed
-                return model_id, None, [], (model_id, text, int(number), str(error)[:2000])
+                return model_id, None, [], (model_id, text, int(number), str(error))
 
         tasks = list(product(grid, numbers))
         with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
@@ -101,7 +102,9 @@ def blocking_search(
 
     metrics = spark.createDataFrame([r for d in done for r in d[2]], SEARCH_SCHEMA)
     failures = spark.createDataFrame([d[3] for d in done if d[3]], FAILURE_SCHEMA)
-    return SearchResult(metrics, {d[0]: d[1] for d in done if d[1] is not None}, failures)
+    return SearchResult(
+        metrics, {d[0]: d[1] for d in done if d[1] is not None}, failures, len(numbers)
+    )
 
 
 def kfold_search(

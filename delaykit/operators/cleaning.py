@@ -13,14 +13,11 @@ from delaykit.functions.scalars import as_col, clamp_low
 def exact_dedup(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that are distinct in all their columns, projected to ``columns``.
 
-    Columns that are not needed afterwards take part as 96 bits of hash, so the shuffle
-    carries the needed columns and two numbers instead of the whole row.
+    Columns that are not needed afterwards decide as well, so the shuffle carries whole rows:
+    a hash in their place would pass over nulls and take two rows for one.
     """
-    if columns is None or set(columns) == set(df.columns):
-        return df.distinct() if columns is None else df.select(*columns).distinct()
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in set(columns)]
-    marked = df.select(*columns, F.xxhash64(*rest).alias("__h1"), F.hash(*rest).alias("__h2"))
-    return marked.distinct().select(*columns)
+    distinct = df.distinct()
+    return distinct if columns is None else distinct.select(*columns)
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaykit.config import CORRELATION_PERIODS
 from delaykit.functions.scalars import ratio
 from delaykit.operators.ranks import average_ranks
 
@@ -53,7 +54,11 @@ def spearman_matrix(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Pearson of average ranks. Ranks come from counts per distinct value, so a value that
-    fills a third of a column is one row, and tables of ranks are joined, not sorted lists."""
+    fills a third of a column is one row, and tables of ranks are joined, not sorted lists.
+
+    A null has no rank. A pair of columns is correlated over the rows that have both, by the
+    ranks each column has among all its values; Pearson leaves out the same rows.
+    """
     numbers = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     return pearson_matrix(average_ranks(numbers, columns, keys), columns, keys)
 
@@ -78,7 +83,7 @@ def pearson_by_period(
     df: DataFrame,
     columns: Sequence[str],
     period: str,
-    ranges: Mapping[str, tuple[int, int] | None],
+    ranges: Mapping[str, tuple[int, int] | None] = CORRELATION_PERIODS,
 ) -> DataFrame:
     """Pearson matrices of several overlapping ranges of periods from one scan."""
     return pearson_matrix(_tagged(df, columns, period, ranges), columns, ["period_name"])
@@ -88,7 +93,7 @@ def spearman_by_period(
     df: DataFrame,
     columns: Sequence[str],
     period: str,
-    ranges: Mapping[str, tuple[int, int] | None],
+    ranges: Mapping[str, tuple[int, int] | None] = CORRELATION_PERIODS,
 ) -> DataFrame:
     """Spearman matrices of several ranges; ranks are taken inside each range."""
     return spearman_matrix(_tagged(df, columns, period, ranges), columns, ["period_name"])

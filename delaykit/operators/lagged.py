@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.config import TIER_HIGH_DELAY, TIER_LOW_DELAY, TIER_MIDDLE, TIER_QUANTILES
@@ -24,22 +24,14 @@ def period_rates(df: DataFrame, period: str, group: str, label: str, row_id: str
     )
 
 
-def tiers(
-    rates: DataFrame, period: str, rate: str = "perc_delay", many_groups: bool = False
-) -> DataFrame:
+def tiers(rates: DataFrame, period: str, rate: str = "perc_delay") -> DataFrame:
     """Add ``airline_type``: strictly outside the period's quartiles of the group rates.
 
-    Quartiles are exact with linear interpolation, over one row per group. A period's groups
-    pass through one task, unless ``many_groups`` has the quartiles found by place.
+    Quartiles are exact with linear interpolation, over one row per group, and found by
+    place, so that no task holds all groups of a period.
     """
-    if many_groups:
-        quartiles = sized_lookup(exact_quantiles(rates, rate, TIER_QUANTILES, keys=[period]))
-        marked = null_safe_join(rates, quartiles, [period])
-    else:
-        pair = F.percentile(rate, F.array(*[F.lit(q) for q in TIER_QUANTILES]))
-        marked = rates.withColumn("__q", pair.over(Window.partitionBy(period))).withColumns(
-            {"q0": F.col("__q")[0], "q1": F.col("__q")[1]}
-        ).drop("__q")
+    quartiles = sized_lookup(exact_quantiles(rates, rate, TIER_QUANTILES, keys=[period]))
+    marked = null_safe_join(rates, quartiles, [period], "left")
     return marked.withColumn(
         "airline_type",
         F.when(F.col(rate) > F.col("q1"), TIER_HIGH_DELAY)
@@ -54,7 +46,6 @@ def prior_rates(
     group: str,
     first_period: int | None = None,
     plain_mean: bool = False,
-    many_groups: bool = False,
 ) -> DataFrame:
     """(period, group) -> perc_delay and airline_type of the prior period, gaps filled.
 
@@ -64,7 +55,7 @@ def prior_rates(
     their own: they are filled like new groups, and left out in the first period.
     """
     start = rates.agg(F.min(period)).scalar() if first_period is None else F.lit(first_period)
-    known = tiers(rates.filter(F.col(group).isNotNull()), period, many_groups=many_groups)
+    known = tiers(rates.filter(F.col(group).isNotNull()), period)
 
     own = known.filter(F.col(period) == start).select(period, group, "perc_delay", "airline_type")
     prior = known.select(
@@ -75,12 +66,8 @@ def prior_rates(
 
     weight = F.when(F.col("perc_delay").isNotNull(), F.lit(1) if plain_mean else F.col("n_rows"))
     total, weights = F.sum(F.col("perc_delay") * weight), F.sum(weight)
-    if many_groups:
-        means = joined.groupBy(period).agg(F.try_divide(total, weights).alias("__mean"))
-        joined = null_safe_join(joined, sized_lookup(means), [period])
-    else:
-        here = Window.partitionBy(period)
-        joined = joined.withColumn("__mean", F.try_divide(total.over(here), weights.over(here)))
+    means = joined.groupBy(period).agg(F.try_divide(total, weights).alias("__mean"))
+    joined = null_safe_join(joined, sized_lookup(means), [period])
     filled = joined.select(
         period,
         group,
@@ -111,12 +98,12 @@ def apply_rates(
 ) -> DataFrame:
     """Rows with the prior period's figures of their group.
 
-    A measured-small table of rates is worked on per period and broadcast. A large one (many
-    groups) is spread over tasks throughout and joined by shuffle.
+    The table of rates is worked on by the same plan whatever its size; it is broadcast if it
+    measures small and joined by shuffle otherwise.
     """
-    small = fits_broadcast(rates)
-    lookup = prior_rates(rates, period, group, first_period, plain_mean, many_groups=not small)
-    return null_safe_join(df, F.broadcast(lookup) if small else lookup, [period, group])
+    lookup = prior_rates(rates, period, group, first_period, plain_mean)
+    lookup = F.broadcast(lookup) if fits_broadcast(rates) else lookup
+    return null_safe_join(df, lookup, [period, group])
 
 
 def carrier_effect(

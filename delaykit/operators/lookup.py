@@ -72,5 +72,6 @@ def null_safe_join(
 
 
 def keep_listed(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``keys``; the list never leaves the executors."""
-    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
+    """Rows whose key occurs in ``keys``. The list is kept once and measured: a short one is
+    broadcast, so the rows are not shuffled for it."""
+    return df.join(sized_lookup(keys.select(*on).distinct()), list(on), "left_semi")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.config import PAGERANK_TOLERANCE, RESET_PROBABILITY
-from delaykit.operators.lookup import fits_broadcast, plain_key
+from delaykit.operators.lookup import plain_key, sized_lookup
 from delaykit.session import cut_lineage
 
 
@@ -28,42 +28,43 @@ def pagerank(
     periods: Sequence[str] = (),
     reset: float = RESET_PROBABILITY,
     tol: float = PAGERANK_TOLERANCE,
-    max_rounds: int = 100,
+    max_rounds: int | None = None,
     source_vertices_only: bool = False,
-    checkpoint_every: int = 10,
+    checkpoint_every: int = 6,
+    with_change: bool = False,
 ) -> DataFrame:
     """(periods, id, pagerank) for weighted edges from :func:`period_edges`.
 
     Rank flows as changes: every vertex starts with ``reset``; a change above ``tol`` is
     passed on along the out-edges by weight and arrives damped by 1 - reset; smaller changes
-    stop. Rounds end when nothing moves any more, or after ``max_rounds``. Ranks are scaled
-    to add up to the number of vertices of their period, which makes up for vertices
-    without out-edges.
+    stop. Rounds go on until nothing moves any more. A given ``max_rounds`` is a promise, not
+    a cut: if changes are left after it, an error is raised. Ranks are scaled to add up to the
+    number of vertices of their period, which makes up for vertices without out-edges.
 
     Vertices are the ends of all edges, or the sources only, in which case edges to other
-    vertices are dropped. All periods run in the same rounds.
+    vertices are dropped. All periods run in the same rounds. ``with_change`` adds the last
+    change of every vertex.
     """
     periods = list(periods)
     keyed = edges.withColumn("__p", plain_key(*periods) if periods else F.lit(""))
     if source_vertices_only:
         sources = keyed.select("__p", F.col("src").alias("dst")).distinct()
         keyed = keyed.join(sources, ["__p", "dst"], "left_semi")
-    out_weight = F.sum("n_edges").over(Window.partitionBy("__p", "src"))
-    weighted = keyed.select(
-        *periods, "__p", "src", "dst", (F.col("n_edges") / out_weight).alias("w")
+    out = keyed.groupBy("__p", "src").agg(F.sum("n_edges").alias("__out"))
+    links = cut_lineage(
+        keyed.join(out, ["__p", "src"]).select(
+            *periods, "__p", "src", "dst", (F.col("n_edges") / F.col("__out")).alias("w")
+        )
     )
-    links = cut_lineage(weighted)
     ends = links.select(*periods, "__p", F.col("src").alias("id"))
     if not source_vertices_only:
         ends = ends.union(links.select(*periods, "__p", F.col("dst").alias("id")))
-    vertices = ends.distinct()
+    vertices = cut_lineage(ends.distinct())
 
     # A link of every vertex to itself (no weight) carries its rank into the next round, so
     # a round is one join and one combined sum, and a chain of rounds stays a straight line.
     own = vertices.select("__p", "id", F.col("id").alias("dst"), F.lit(None).cast("double").alias("w"))
-    hops = links.select("__p", F.col("src").alias("id"), "dst", "w").unionByName(own)
-    if fits_broadcast(links):
-        hops = F.broadcast(hops)
+    hops = sized_lookup(links.select("__p", F.col("src").alias("id"), "dst", "w").unionByName(own))
 
     state = vertices.select(
         "__p", "id", F.lit(reset).alias("rank"), F.lit(reset).alias("change")
@@ -73,20 +74,24 @@ def pagerank(
         F.col("w").isNotNull() & (F.col("change") > tol),
         F.col("change") * F.col("w") * (1 - reset),
     ).otherwise(F.lit(0.0))
-    for number in range(1, max_rounds + 1):
+    number, moving = 0, True
+    while moving:
         state = (
             state.join(hops, ["__p", "id"])
             .groupBy("__p", F.col("dst").alias("id"))
             .agg(F.sum(kept).alias("__kept"), F.sum(sent).alias("change"))
             .select("__p", "id", (F.col("__kept") + F.col("change")).alias("rank"), "change")
         )
-        if number % checkpoint_every == 0 and number < max_rounds:
+        number += 1
+        last = max_rounds is not None and number >= max_rounds
+        if number % checkpoint_every == 0 or last:
             state = cut_lineage(state)
-            if state.filter(F.col("change") > tol).isEmpty():
-                break
+            moving = not state.filter(F.col("change") > tol).isEmpty()
+            if moving and last:
+                raise RuntimeError(f"changes above {tol} are left after {number} rounds")
     if periods:
         state = state.join(vertices, ["__p", "id"])
-    scale = F.count(F.lit(1)).over(Window.partitionBy("__p")) / F.sum("rank").over(
-        Window.partitionBy("__p")
-    )
-    return state.select(*periods, "id", (F.col("rank") * scale).alias("pagerank"))
+    scales = state.groupBy("__p").agg((F.count(F.lit(1)) / F.sum("rank")).alias("__scale"))
+    scaled = state.join(sized_lookup(scales), "__p")
+    shown = [*periods, "id", (F.col("rank") * F.col("__scale")).alias("pagerank")]
+    return scaled.select(*shown, *(["change"] if with_change else []))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from delaykit.operators.lookup import BROADCAST_BYTES, null_safe_join, plain_key, sized_lookup
 from delaykit.session import cut_lineage
 
-MAX_BUCKETS = 2000
+BUCKET_VALUES = 500_000  # distinct values that one task sorts
 _BELOW_ALL = -(2**62)
 
 
@@ -51,18 +51,25 @@ def profile(
     """One narrow pass; only the cuts and one estimate reach the driver.
 
     The cuts are approximate quantiles of the rows, so every bucket holds about the same
-    share of them (or one value).
+    share of them (or one value). Their number follows the estimated distinct values, so a
+    bucket stays the work of one task however long the column is.
     """
-    wanted = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(2, min(wanted, MAX_BUCKETS))
-    row = df.agg(
-        F.percentile_approx(
-            _as_number(df, value), [i / wanted for i in range(1, wanted)], 2 * wanted
-        ).alias("cuts"),
-        F.approx_count_distinct(F.xxhash64(*keys, value)).alias("n"),
-    ).first()
+    start = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted, n = max(2, start), 0
+    while True:
+        row = df.agg(
+            F.percentile_approx(
+                _as_number(df, value), [i / wanted for i in range(1, wanted)], 2 * wanted
+            ).alias("cuts"),
+            F.approx_count_distinct(F.xxhash64(*keys, value)).alias("n"),
+        ).first()
+        n = row["n"]
+        needed = n // BUCKET_VALUES + 1
+        if buckets or needed <= wanted:
+            break
+        wanted = needed + needed // 10
     cuts = {float(c) for c in row["cuts"] or [] if c == c and abs(c) != float("inf")}
-    return Profile(tuple(sorted(cuts)) or (0.0,), row["n"])
+    return Profile(tuple(sorted(cuts)) or (0.0,), n)
 
 
 def _with_bucket(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
@@ -205,28 +212,27 @@ def percent_rank(
 def average_ranks(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), buckets: int | None = None
 ) -> DataFrame:
-    """Replace each column by its average rank (ties share the mean of their places), over
-    the whole table or inside each key.
+    """(keys, columns): each column as its average rank (ties share the mean of their places),
+    over the whole table or inside each key. Null has no rank and stays null.
 
-    The ranks of all columns come from one pass over (column, value) counts and are kept
-    once; a column with few distinct values is then looked up by broadcast, by its counted
-    size, and any other by a shuffle join.
+    Rows get a number and are taken apart into (row, column, value); the ranks of all columns
+    come from one pass over the counts per value and meet the cells in one join, by broadcast
+    if all of them together measure small; one aggregate puts the rows together again. So two
+    shuffles of narrow rows do, whatever the number of columns.
     """
     columns, keys = list(columns), list(keys)
-    cells = [
-        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-        for i, c in enumerate(columns)
-    ]
-    long = df.select(*keys, F.explode(F.array(*cells)).alias("x")).select(*keys, "x.c", "x.v")
-    ranks = cut_lineage(value_ranks(long, "v", keys=[*keys, "c"], buckets=buckets))
-    sizes = {r["c"]: r["n"] for r in ranks.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    row_bytes = 32 + 64 * len(keys)
-    ranked = df
-    for i, c in enumerate(columns):
-        mine = ranks.filter(F.col("c") == i).select(
-            *keys, F.col("v").alias(c), F.col("__average_rank").alias("__rank")
+    numbered = cut_lineage(
+        df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]).withColumn(
+            "__row", F.monotonically_increasing_id()
         )
-        if sizes.get(i, 0) * row_bytes <= BROADCAST_BYTES:
-            mine = F.broadcast(mine)
-        ranked = null_safe_join(ranked, mine, [*keys, c]).drop(c).withColumnRenamed("__rank", c)
-    return ranked
+    )
+    cells = [F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(columns)]
+    long = numbered.select("__row", *keys, F.explode(F.array(*cells)).alias("x")).select(
+        "__row", *keys, "x.c", "x.v"
+    )
+    known = long.filter(F.col("v").isNotNull())
+    ranks = value_ranks(known.select(*keys, "c", "v"), "v", keys=[*keys, "c"], buckets=buckets)
+    lookup = sized_lookup(ranks.select(*keys, "c", "v", "__average_rank"))
+    ranked = null_safe_join(long, lookup, [*keys, "c", "v"], "left")
+    wide = [F.max(F.when(F.col("c") == i, F.col("__average_rank"))).alias(c) for i, c in enumerate(columns)]
+    return ranked.groupBy("__row", *keys).agg(*wide).drop("__row")

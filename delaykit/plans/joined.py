@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.config import (
-    FLIGHT_COLUMNS,
     FLIGHT_ID_PARTS,
     LABEL,
     MAX_WIND_SPEED,
@@ -36,17 +37,23 @@ from delaykit.operators.stations import station_shortlist
 from delaykit.operators.timejoin import hour_join, interval_join
 from delaykit.operators.weather import rollup
 from delaykit.session import cut_lineage
+from delaykit.sources.schemas import FLIGHTS
 
 CODE = "HourlyPresentWeatherType"
 STATION_NUMBERS = ["distance_to_neighbor", "neighbor_lat", "neighbor_lon"]
 AVERAGED = ["ELEVATION", *WEATHER_MEASURES, *STATION_NUMBERS]
 
 
-def prepare_flights(flights: DataFrame) -> DataFrame:
-    """Distinct flights with a tail number, their departure hour and the weather hour."""
-    columns = [c for c in FLIGHT_COLUMNS if c in flights.columns]
+def prepare_flights(flights: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Distinct flights with a tail number, their departure hour and the weather hour.
+
+    ``columns`` are those to keep, all of the published table if unset; a missing one is an error.
+    """
+    wanted = list(columns or FLIGHTS.fieldNames())
+    if missing := [c for c in wanted if c not in flights.columns]:
+        raise ValueError(f"flight columns are missing: {missing}")
     rows = drop_null_keys(flights, ["TAIL_NUM"])
-    return exact_dedup(rows, columns).withColumns(
+    return exact_dedup(rows, wanted).withColumns(
         {
             "DEP_HOUR": hour_text("CRS_DEP_TIME"),
             "DEP_DAY": F.date_format(day_of("FL_DATE"), "yyyy-MM-dd"),
@@ -59,7 +66,8 @@ def prepare_flights(flights: DataFrame) -> DataFrame:
 
 
 def prepare_weather(weather: DataFrame) -> DataFrame:
-    """Readable measures, calm outliers removed, the hour the observation serves."""
+    """Readable measures, calm outliers removed, the hour the observation serves. Rows of the
+    chosen stations come in, so only they are parsed."""
     parsed = drop_above(
         numeric_text(weather, ["ELEVATION", *WEATHER_MEASURES]), "HourlyWindSpeed", MAX_WIND_SPEED
     )
@@ -80,13 +88,13 @@ def chosen_stations(flights: DataFrame, stations: DataFrame) -> DataFrame:
 
 def hourly_weather(weather: DataFrame, shortlist: DataFrame) -> DataFrame:
     """One row per (airport, hour): mean measures and all weather codes."""
-    near = prepare_weather(weather).join(shortlist, "STATION")
+    near = prepare_weather(weather.join(shortlist, "STATION"))
     return rollup(near, ["ORIGIN", "DEP_DATETIME_LAG"], AVERAGED, CODE)
 
 
 def timely_weather(weather: DataFrame, shortlist: DataFrame) -> DataFrame:
     """One row per (airport, observation time), for the interval form of the join."""
-    near = prepare_weather(weather).join(shortlist, "STATION")
+    near = prepare_weather(weather.join(shortlist, "STATION"))
     return rollup(near, ["ORIGIN", "DATE"], AVERAGED)
 
 
@@ -106,19 +114,21 @@ def finish(joined: DataFrame, timezones: DataFrame) -> DataFrame:
 
 
 def build_joined(
-    flights: DataFrame, stations: DataFrame, weather: DataFrame, timezones: DataFrame
+    flights: DataFrame, stations: DataFrame, weather: DataFrame, timezones: DataFrame,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The joined table by departure hour."""
-    departures = prepare_flights(flights)
+    departures = prepare_flights(flights, columns)
     hourly = hourly_weather(weather, chosen_stations(flights, stations))
     return finish(hour_join(departures, hourly), timezones)
 
 
 def build_joined_by_interval(
-    flights: DataFrame, stations: DataFrame, weather: DataFrame, timezones: DataFrame
+    flights: DataFrame, stations: DataFrame, weather: DataFrame, timezones: DataFrame,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The joined table with one row per flight and observation of the two hours before."""
-    departures = prepare_flights(flights)
+    departures = prepare_flights(flights, columns)
     points = timely_weather(weather, chosen_stations(flights, stations))
     joined = interval_join(
         departures, points, "ORIGIN", "DEP_DATETIME_LAG", "DATE", hours=WEATHER_LEAD_HOURS

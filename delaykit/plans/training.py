@@ -7,13 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from delaykit.config import CV_BLOCKS, TRAIN_SHARE, FeatureSet
 from delaykit.ml.preparation import build_pipeline
 from delaykit.ml.search import SearchResult, blocking_search
 from delaykit.ml.selection import best_model, predict_holdout
 from delaykit.operators.folds import blocking_folds, period_folds
-from delaykit.session import cut_lineage
+from delaykit.sources.sinks import staged
 
 
 @dataclass
@@ -40,10 +41,11 @@ def prepare(
 
     Folds are equal blocks of time, or one per ``period`` if given. Beside the vectors,
     ``carry`` names the columns to keep (all input columns if unset); the label and the
-    time stay anyway. Training rows are kept as a stage, since ranking them and every fit
-    read them again.
+    time stay anyway. Training rows are ranked and written once, as Parquet with their fold,
+    since every fit reads them again: the columns a fit does not need are pruned there.
     """
-    train_rows = features.filter(~is_holdout)
+    held = F.coalesce(is_holdout, F.lit(False))  # an unknown condition means training
+    train_rows = features.filter(~held)
     pipeline = build_pipeline(train_rows, chosen, one_hot, impute, scale)
     vectors = ["features", "scaledFeatures"] if scale else ["features"]
     shown = [c for c in features.columns if carry is None or c in {chosen.label, time, period, *carry}]
@@ -51,12 +53,12 @@ def prepare(
     def transformed(rows: DataFrame) -> DataFrame:
         return pipeline.transform(rows).select(*shown, *vectors)
 
-    train = cut_lineage(transformed(train_rows))
     if period:
-        train = period_folds(train, time, period, train_share)
+        ranked = period_folds(train_rows, time, period, train_share)
     else:
-        train = blocking_folds(train, time, blocks, train_share)
-    return Prepared(pipeline, train, transformed(features.filter(is_holdout)))
+        ranked = blocking_folds(train_rows, time, blocks, train_share)
+    train = staged(pipeline.transform(ranked).select(*shown, "fold", "is_val", *vectors), "train")
+    return Prepared(pipeline, train, transformed(features.filter(held)))
 
 
 @dataclass
@@ -79,5 +81,5 @@ def train_and_choose(
     search = blocking_search(
         prepared.train, family, grid, label, thresholds, features, parallelism=parallelism
     )
-    model, threshold, _ = best_model(search.metrics, search.models)
+    model, threshold, _ = best_model(search)
     return Outcome(search, model, threshold, predict_holdout(model, threshold, prepared.holdout))

@@ -41,7 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_KEY, None)
     current = context.getCheckpointDir()
     if named:
-        if current is None:
+        # the context keeps its folder under a fresh name inside the one it was given
+        if current is None or not current.rstrip("/").rpartition("/")[0].endswith(named.rstrip("/").removeprefix("file://")):
             context.setCheckpointDir(named)
         return named
     if current is None:

@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaykit.session import checkpoint_dir
 from delaykit.sources.schemas import METRICS_LOG
 
 
 def write_stage(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Overwrite a stage; partition columns let later reads prune."""
+    """Overwrite a stage; partition columns let later reads prune. Rows of a partition value are
+    brought together first (large ones are split again), so tasks do not each write a file for
+    every value."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` once to a fresh place in the shared folder and read it back. The schema is
+    given, so column metadata (feature names) survive and reading needs no look at the files."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    write_stage(df, path, *partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def reload_stage(spark: SparkSession, path: str, period: str, holdout: int | None = None):
     """Reread a stage with its distinct periods (a DataFrame), holdout left out."""
     df = spark.read.parquet(path)

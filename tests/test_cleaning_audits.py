@@ -10,6 +10,9 @@ def test_dedup_whole_rows_then_project(spark, rows):
     assert rows(cleaning.exact_dedup(df)) == [(1, "a", 8), (1, "a", 9), (2, None, 7)]
     # rows that differ only in a column that is not kept are different rows
     assert rows(cleaning.exact_dedup(df, ["k", "v"])) == [(1, "a"), (1, "a"), (2, None)]
+    # nulls that change places make different rows
+    swapped = spark.createDataFrame([(1, None, 5), (1, 5, None), (1, None, 5)], "k int, a int, b int")
+    assert rows(cleaning.exact_dedup(swapped, ["k"])) == [(1,), (1,)]
 
 
 def test_fill_keeps_types(spark, rows):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from delaykit.config import FEATURE_SETS, FeatureSet
 from delaykit.ml import reports
 from delaykit.ml.estimators import make_estimator, naive_predictions, score_rows
-from delaykit.ml.preparation import build_pipeline, check_cardinality, feature_names
-from delaykit.ml.search import blocking_search, expand_grid, kfold_search
+from delaykit.ml.preparation import build_pipeline, cardinality, feature_names
+from delaykit.ml.search import FAILURE_SCHEMA, SearchResult, blocking_search, expand_grid, kfold_search
 from delaykit.ml.selection import best_model, best_row, holdout_metrics, mean_metrics, top_settings
 from delaykit.operators.metrics import confusion_metrics, dropped_rows
 from delaykit.plans.training import prepare, train_and_choose
@@ -67,9 +67,10 @@ def test_imputer_and_scaler(flights):
     assert abs(sum(r["scaledFeatures"][-1] for r in out.select("scaledFeatures").collect())) < 1e-6
 
 
-def test_too_many_categories_are_refused(flights):
-    with pytest.raises(ValueError, match="too many categories"):
-        check_cardinality(flights, ["flight_id", "carrier"], limit=100)
+def test_category_counts_are_told(flights):
+    counts = cardinality(flights, ["flight_id", "carrier"])
+    assert counts["carrier"] == 4 and counts["flight_id"] > 2000
+    assert cardinality(flights, []) == {}
 
 
 def test_training_precedes_validation(prepared):
@@ -138,8 +139,18 @@ def test_selection(spark):
     assert {r["params"]: round(r["val_f05"], 9) for r in mean_metrics(metrics).collect()} == {"a": 0.5, "b": 0.65}
     # the best mean wins, not the best single fold; then the best fold of that setting
     assert best_row(metrics).first()["model_id"] == "b1"
-    assert best_model(metrics, {"b1": "model"})[0] == "model"
+    none = spark.createDataFrame([], FAILURE_SCHEMA)
+    assert best_model(SearchResult(metrics, {"b1": "model"}, none, 2))[0] == "model"
     assert top_settings(metrics, 1).count() == 2
+    # a setting that was scored on one fold only is not ranked, however good the fold
+    lone = metrics.unionByName(
+        spark.createDataFrame([("c0", "lr", "c", 0, 0.5, 0.1, 0.1, 0.99, 0.1, 0.1)], columns)
+    )
+    assert best_row(lone).first()["model_id"] == "b1" == best_row(lone, n_folds=2).first()["model_id"]
+    assert top_settings(lone, 20).filter("params = 'c'").isEmpty()
+    failed = spark.createDataFrame([("c1", "c", 1, "no luck")], FAILURE_SCHEMA)
+    with pytest.raises(RuntimeError, match="no luck"):
+        best_model(SearchResult(lone, {}, failed, 3))
 
 
 def test_holdout_metrics(prepared):
@@ -162,10 +173,13 @@ def test_reports(spark, prepared, tmp_path):
     table = reports.feature_importance(spark, lr, names).collect()
     assert len(table) == len(names)
     assert [r["importance"] for r in table] == sorted((r["importance"] for r in table), reverse=True)
-    assert reports.training_thresholds(lr).columns == ["threshold", "precision", "recall", "F05"]
+    curve = reports.training_curve(lr, prepared.train, "y")
+    assert curve.columns == ["threshold", "precision", "recall", "F05"]
+    scores = score_rows(lr, prepared.train).select("predicted_probability").distinct().count()
+    assert curve.count() == scores == reports.training_roc(lr, prepared.train, "y").count()
     assert reports.training_loss(spark, lr).count() > 1
-    assert 0.5 < reports.training_area(spark, lr).first()["auc"] <= 1.0
-    assert reports.training_roc(lr).count() > 2
+    area = reports.training_area(lr, prepared.train, "y").first()["auc"]
+    assert area == pytest.approx(lr.summary.areaUnderROC, abs=1e-3) and area > 0.5
 
     gbt = make_estimator("gbt", {"maxIter": 3, "maxDepth": 2}, "y").fit(prepared.train)
     assert reports.tree_ensemble_report(spark, gbt).count() == 3
