@@ -2,6 +2,7 @@
 
 from delaykit.catalogue import (  # noqa: F401 - importing registers the queries
     audit_queries,
+    closed_form_queries,
     evaluation_queries,
     feature_queries,
     io_queries,

@@ -316,7 +316,7 @@ _CODE_SQL = "CASE l.f " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in
 
 FEATURE_SQL = f"""{s.ORDER_FLIGHTS_SQL}, {pagerank_ctes('order_flights', '"YEAR"')},
 coded AS (
-  SELECT f.*, {_CODE_SQL} AS codes
+  SELECT f.*, {_CODE_SQL} AS codes, l.f IS NOT NULL AS has_lines
   FROM order_flights f
   LEFT JOIN (SELECT l_orderkey, max(l_returnflag) AS f FROM lineitem GROUP BY l_orderkey) l
     ON l.l_orderkey = f.o_orderkey
@@ -338,7 +338,9 @@ tracked AS (
   WINDOW w AS (PARTITION BY FL_DATE, TAIL_NUM ORDER BY m, flight_id)
 ),
 features AS (
-  SELECT f.o_orderkey, f.flight_id, f."YEAR", f.DEP_DEL15,
+  SELECT f.o_orderkey, f.flight_id, f."YEAR", f.DEP_DEL15, f.has_lines, f.DEP_DATETIME_LAG,
+         f."QUARTER", f."MONTH", CAST(dayofweek(f.DEP_DATETIME_LAG) + 1 AS INTEGER) AS "DAY_OF_WEEK",
+         f.OP_UNIQUE_CARRIER, lpad(CAST(f.CRS_DEP_TIME // 100 AS VARCHAR), 2, '0') AS "DEP_HOUR",
          {_kind_sql('CAST(f.FL_DATE AS DATE)')} AS "AssumedEffect_Text",
          t.p AS perc_delay, t.tier AS airline_type, coalesce(f.prev, 0.0) AS is_prev_delayed,
          r.pagerank,

@@ -6,11 +6,13 @@ import uuid
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from delaykit.catalogue import standins as s
-from delaykit.catalogue.feature_queries import feature_stage
-from delaykit.catalogue.registry import query
+from delaykit.catalogue.feature_queries import FEATURE_SQL, feature_stage
+from delaykit.catalogue.rank_queries import fold_cases
+from delaykit.catalogue.registry import query, tables
 from delaykit.config import LABEL, WEATHER_FLAGS, FeatureSet
 from delaykit.ml import reports
 from delaykit.ml.estimators import make_estimator, score_rows
@@ -26,6 +28,7 @@ from delaykit.ml.selection import (
 )
 from delaykit.operators.folds import blocking_folds, period_folds
 from delaykit.operators.metrics import confusion_metrics, dropped_rows
+from delaykit.plans.analysis import ensemble_report, error_report
 from delaykit.plans.training import prepare, train_and_choose
 from delaykit.session import checkpoint_dir
 from delaykit.sources.sinks import write_stage
@@ -51,9 +54,32 @@ def _hold():
 _TIME = "DEP_DATETIME_LAG"
 
 
-def _prepared(spark, sf, name="full", **options):
-    carry = ["o_orderkey", "flight_id", "YEAR"]
-    return prepare(feature_stage(spark, sf), SETS[name], _hold(), _TIME, carry=carry, **options)
+def _prepared(spark, sf, name="full", stage=None, **options):
+    carry = ["o_orderkey", "flight_id", "YEAR", *options.pop("extra", [])]
+    stage = feature_stage(spark, sf) if stage is None else stage
+    return prepare(stage, SETS[name], _hold(), _TIME, carry=carry, **options)
+
+
+def _learned_sql(name: str = "full") -> str:
+    """CTEs: ``train`` and ``known`` (rows that the preparation keeps) of a feature set. Orders
+    without lines lack the measures; categories that training never saw are skipped."""
+    seen = " AND ".join(f'"{c}" IN (SELECT "{c}" FROM train)' for c in SETS[name].categoricals)
+    return f"""{FEATURE_SQL},
+train AS (SELECT * FROM features WHERE "YEAR" <> 2001),
+known AS (SELECT * FROM features WHERE has_lines AND {seen}),
+placed AS (SELECT *, percent_rank() OVER (ORDER BY DEP_DATETIME_LAG) AS place FROM known WHERE "YEAR" <> 2001),
+folds AS (SELECT *, {fold_cases(4)[0]} AS fold, {fold_cases(4)[1]} AS is_val FROM placed)"""
+
+
+_HOT = SETS["full"].categoricals
+_WIDTH_SQL = " + ".join(f'(SELECT count(DISTINCT "{c}") - 1 FROM train)' for c in _HOT) + f" + {len(SETS['full'].numerics)}"
+_NAMES_SQL = "\nUNION ALL\n".join(
+    f"""SELECT {i} AS part, rn, '{c}_class_' || label AS name FROM (
+  SELECT CAST("{c}" AS VARCHAR) AS label, count(*) OVER () AS k,
+         row_number() OVER (ORDER BY count(*) DESC, CAST("{c}" AS VARCHAR)) AS rn
+  FROM train GROUP BY "{c}") WHERE rn < k"""
+    for i, c in enumerate(_HOT)
+) + "".join(f"\nUNION ALL SELECT {100 + i}, 0, '{c}'" for i, c in enumerate(SETS["full"].numerics))
 
 
 def _shown(metrics):
@@ -67,14 +93,22 @@ def _search(spark, sf, family, grid, thresholds=(0.3, 0.5), name="full", feature
     )
 
 
-@query("feature_pipeline")
+@query(
+    "feature_pipeline",
+    f"""WITH {_learned_sql()}
+SELECT o_orderkey, "YEAR", fold, is_val, CAST({_WIDTH_SQL} AS INTEGER) AS n_features FROM folds""",
+)
 def feature_pipeline(spark, sf):
     prepared = _prepared(spark, sf, one_hot=True, scale=True)
     size = F.size(vector_to_array("scaledFeatures"))
     return prepared.train.select("o_orderkey", "YEAR", "fold", "is_val", size.alias("n_features"))
 
 
-@query("feature_names")
+@query(
+    "feature_names",
+    f"""WITH {_learned_sql()}, names AS ({_NAMES_SQL})
+SELECT CAST(row_number() OVER (ORDER BY part, rn) - 1 AS INTEGER) AS position, name AS "featureName" FROM names""",
+)
 def names(spark, sf):
     rows = feature_stage(spark, sf).filter(~_hold())
     fitted = build_pipeline(rows, SETS["full"], one_hot=True)
@@ -88,6 +122,31 @@ def model_lr(spark, sf):
     return _shown(_search(spark, sf, "lr", grid)[1].metrics)
 
 
+_TOTALS_SQL = f"""WITH {_learned_sql()}
+SELECT CAST(fold AS INTEGER) AS cv_fold, t AS threshold, count(*) FILTER (WHERE DEP_DEL15 = 1) AS n_delayed,
+       count(*) FILTER (WHERE DEP_DEL15 = 0) AS n_on_time
+FROM folds, (SELECT unnest([0.3, 0.5]::DOUBLE[]) AS t) WHERE is_val GROUP BY ALL"""
+
+
+def _label_totals(metrics):
+    """Whatever a model says, its four counts add up to the labels of the fold it was scored on."""
+    return metrics.select(
+        "cv_fold", "threshold", (F.col("val_tp") + F.col("val_fn")).alias("n_delayed"),
+        (F.col("val_tn") + F.col("val_fp")).alias("n_on_time"),
+    )
+
+
+@query("search_totals_lr", _TOTALS_SQL)
+def search_totals_lr(spark, sf):
+    return _label_totals(_search(spark, sf, "lr", [{"maxIter": 5}])[1].metrics)
+
+
+@query("search_totals_rf", _TOTALS_SQL)
+def search_totals_rf(spark, sf):
+    grid = [{"numTrees": 10, "maxDepth": 4, "maxBins": 32}]
+    return _label_totals(_search(spark, sf, "rf", grid, one_hot=False)[1].metrics)
+
+
 @query("model_gbt")
 def model_gbt(spark, sf):
     grid = expand_grid({"maxIter": [5], "maxDepth": [4], "maxBins": [32], "stepSize": [0.5, 0.1]})
@@ -169,10 +228,16 @@ def choose(spark, sf):
     return confusion_metrics(outcome.predictions, LABEL)
 
 
-@query("holdout_dropped")
+@query(
+    "holdout_dropped",
+    f"""WITH {_learned_sql()},
+n AS (SELECT (SELECT count(*) FROM features WHERE "YEAR" = 2001) AS n_rows,
+             (SELECT count(*) FROM known WHERE "YEAR" = 2001) AS n_scored)
+SELECT n_rows, n_scored, n_rows - n_scored AS n_dropped, (n_rows - n_scored) / n_rows * 100 AS perc_dropped FROM n""",
+)
 def holdout_dropped(spark, sf):
     rows = feature_stage(spark, sf)
-    prepared = _prepared(spark, sf)
+    prepared = _prepared(spark, sf, stage=rows)
     return dropped_rows(rows.filter(_hold()), prepared.holdout)
 
 
@@ -235,15 +300,19 @@ def training_loss(spark, sf):
 def feature_set_compare(spark, sf):
     """The same small search on each feature set."""
     grid = expand_grid({"regParam": [0.0], "maxIter": [5]})
-    parts = None
+    parts, stage = None, feature_stage(spark, sf)
     for name in SETS:
-        found = _search(spark, sf, "lr", grid, (0.35,), name)[1].metrics
+        found = _search(spark, sf, "lr", grid, (0.35,), name, stage=stage)[1].metrics
         part = mean_metrics(found).withColumn("feature_set", F.lit(name))
         parts = part if parts is None else parts.unionByName(part)
     return parts
 
 
-@query("model_roundtrip")
+@query(
+    "model_roundtrip",
+    f"""WITH {_learned_sql()}
+SELECT count(*) AS n_rows, count(*) AS n_equal FROM known WHERE "YEAR" = 2001""",
+)
 def model_roundtrip(spark, sf):
     """A saved and reloaded model scores the holdout like the original."""
     prepared = _prepared(spark, sf)
@@ -261,7 +330,16 @@ def model_roundtrip(spark, sf):
     )
 
 
-@query("fold_sizes")
+@query(
+    "fold_sizes",
+    f"""WITH {_learned_sql()},
+both_kinds AS (
+  SELECT 'blocks' AS kind, {fold_cases(4)[0]} AS fold, {fold_cases(4)[1]} AS is_val
+  FROM (SELECT percent_rank() OVER (ORDER BY DEP_DATETIME_LAG) AS place FROM train)
+  UNION ALL
+  SELECT 'years', "YEAR", percent_rank() OVER (PARTITION BY "YEAR" ORDER BY DEP_DATETIME_LAG) > 0.7::DOUBLE FROM train)
+SELECT kind, CAST(fold AS INTEGER) AS fold, is_val, count(*) AS n_rows FROM both_kinds GROUP BY ALL""",
+)
 def fold_sizes(spark, sf):
     """Rows per fold and part for both kinds of folds."""
     rows = feature_stage(spark, sf).filter(~_hold()).select("o_orderkey", "YEAR", _TIME)
@@ -274,3 +352,92 @@ def fold_sizes(spark, sf):
         .groupBy("kind", "fold", "is_val")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+
+
+def _voters(spark, sf):
+    """Holdout predictions of three fitted families on the same rows."""
+    frames, stage = {}, feature_stage(spark, sf)
+    for family, settings, options in (
+        ("lr", {"maxIter": 5}, {"one_hot": True}),
+        ("gbt", {"maxIter": 5, "maxDepth": 4, "maxBins": 32, "stepSize": 0.5}, {"one_hot": False}),
+        ("mlp", {"maxIter": 100, "blockSize": 128, "stepSize": 0.5}, {"one_hot": True, "scale": True}),
+    ):
+        prepared = _prepared(spark, sf, "baseline", stage, **options)
+        vectors = "scaledFeatures" if family == "mlp" else "features"
+        if family == "mlp":
+            settings = settings | {"layers": [len(feature_names(prepared.train)), 15, 2]}
+        model = make_estimator(family, settings, LABEL, vectors).fit(prepared.train)
+        frames[family] = predict_holdout(model, 0.33, prepared.holdout).select("flight_id", LABEL, "prediction")
+    return frames
+
+
+@query(
+    "fitted_ensemble",
+    f"""WITH {_learned_sql("baseline")},
+n AS (SELECT count(*) FILTER (WHERE DEP_DEL15 = 1) AS n_delayed, count(*) FILTER (WHERE DEP_DEL15 = 0) AS n_on_time
+      FROM known WHERE "YEAR" = 2001)
+SELECT unnest(['lr_prediction', 'gbt_prediction', 'mlp_prediction', 'vote_majority', 'vote_any', 'vote_all']) AS model,
+       n_delayed, n_on_time, true AS in_order FROM n""",
+)
+def fitted_ensemble(spark, sf):
+    """LR, GBT and MLP fitted on the training years vote on the holdout. Labels add up for every
+    rule, and the rules are ordered: what all vote for, most do, and what most do, any does."""
+    report = ensemble_report(_voters(spark, sf), ["flight_id"], LABEL)
+    hits = F.col("tp") + F.col("fp")
+    one = lambda name: F.max(F.when(F.col("model") == name, hits)).over(Window.partitionBy())
+    ordered = (one("vote_all") <= one("vote_majority")) & (one("vote_majority") <= one("vote_any"))
+    return report.select(
+        "model", (F.col("tp") + F.col("fn")).alias("n_delayed"), (F.col("tn") + F.col("fp")).alias("n_on_time"),
+        ordered.alias("in_order"),
+    )
+
+
+_ERROR_SLICES = ["DEP_HOUR", "OP_UNIQUE_CARRIER", "is_prev_delayed", "AssumedEffect_Text", "HourlyPrecipitation", "MONTH"]
+
+
+@query(
+    "holdout_errors",
+    f"""WITH {_learned_sql()}\n"""
+    + "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature, CAST("{c}" AS VARCHAR) AS value, count(*) AS n_rows, sum(DEP_DEL15) AS n_delayed
+FROM known WHERE "YEAR" = 2001 GROUP BY "{c}\""""
+        for c in _ERROR_SLICES
+        if c != "HourlyPrecipitation"
+    ),
+)
+def holdout_errors(spark, sf):
+    """Error slices of scored holdout rows over six features; rows and delays per value add up.
+    (Precipitation is a mean of doubles here; its values are left out of the comparison.)"""
+    prepared = _prepared(spark, sf, extra=_ERROR_SLICES)
+    model = make_estimator("lr", {"maxIter": 5}, LABEL).fit(prepared.train)
+    _, slices = error_report(predict_holdout(model, 0.33, prepared.holdout), LABEL, _ERROR_SLICES)
+    delayed = F.when(F.col("r_type").isin("tp", "fn"), F.col("n_rows")).otherwise(0)
+    return (
+        slices.filter(F.col("feature") != "HourlyPrecipitation").groupBy("feature", "value")
+        .agg(F.sum("n_rows").alias("n_rows"), F.sum(delayed).cast("double").alias("n_delayed"))
+        .select("feature", "value", "n_rows", "n_delayed")
+    )
+
+
+@query(
+    "imputed_measures",
+    """WITH holes AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 > 0 THEN l_quantity END AS a,
+  CASE WHEN l_linenumber % 2 > 0 THEN l_discount END AS b FROM lineitem)
+SELECT count(*) AS n_rows, round(avg(coalesce(a, (SELECT avg(a) FROM holes))), 6) AS mean_a,
+       round(avg(coalesce(b, (SELECT avg(b) FROM holes))), 6) AS mean_b,
+       round(var_samp(coalesce(a, (SELECT avg(a) FROM holes))), 6) AS var_a FROM holes""",
+)
+def imputed_measures(spark, sf):
+    """The preparation with its imputer keeps rows with holes and fills them with column means."""
+    (lineitem,) = tables(spark, sf, "lineitem")
+    n = F.col("l_linenumber")
+    holes = lineitem.select(
+        F.when(n % 3 > 0, F.col("l_quantity")).alias("a"), F.when(n % 2 > 0, F.col("l_discount")).alias("b")
+    )
+    chosen = FeatureSet("holes", (), ("a", "b"))
+    values = build_pipeline(holes, chosen, impute=True).transform(holes).select(vector_to_array("features").alias("v"))
+    a, b = F.col("v")[0], F.col("v")[1]
+    return values.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.avg(a), 6).alias("mean_a"), F.round(F.avg(b), 6).alias("mean_b"),
+        F.round(F.var_samp(a), 6).alias("var_a"),
+    )

@@ -69,7 +69,7 @@ def percent_rank_measure(spark, sf):
     return ranked.select("l_orderkey", "l_linenumber", "l_quantity", r9("place").alias("place"))
 
 
-def _fold_cases(blocks: int) -> tuple[str, str]:
+def fold_cases(blocks: int) -> tuple[str, str]:
     bounds = block_bounds(blocks)
     fold = " ".join(
         f"WHEN place >= {a!r}::DOUBLE AND place < {b!r}::DOUBLE THEN {i}"
@@ -87,7 +87,7 @@ def _fold_cases(blocks: int) -> tuple[str, str]:
     f"""WITH {s.PLAIN_ORDERS_SQL},
 p AS (SELECT o_orderkey, percent_rank() OVER (ORDER BY DEP_DATETIME_LAG) AS place
       FROM plain_orders WHERE "YEAR" <> 2001)
-SELECT o_orderkey, {_fold_cases(4)[0]} AS fold, {_fold_cases(4)[1]} AS is_val FROM p""",
+SELECT o_orderkey, {fold_cases(4)[0]} AS fold, {fold_cases(4)[1]} AS is_val FROM p""",
 )
 def folds(spark, sf):
     train = s.plain_orders(spark, sf).filter(~_hold()).select("o_orderkey", "DEP_DATETIME_LAG")

@@ -54,10 +54,10 @@ def prepare(
         return pipeline.transform(rows).select(*shown, *vectors)
 
     if period:
-        ranked = period_folds(train_rows, time, period, train_share)
+        ranked = period_folds(transformed(train_rows), time, period, train_share)
     else:
-        ranked = blocking_folds(train_rows, time, blocks, train_share)
-    train = staged(pipeline.transform(ranked).select(*shown, "fold", "is_val", *vectors), "train")
+        ranked = blocking_folds(transformed(train_rows), time, blocks, train_share)
+    train = staged(ranked, "train")
     return Prepared(pipeline, train, transformed(features.filter(held)))
 
 
