@@ -5,6 +5,7 @@ A word is a run of bytes other than ``[\\x20\\x09-\\x0D]``; a null text has no w
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from delaykit.session import checkpoint_dir
 
 SLICE_BYTES = 8 << 20
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 WORD = r"[^\x20\x09-\x0D]+"
 MIX = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of a rolling polynomial hash
 FINAL = np.uint64(0xFF51AFD7ED558CCD)
@@ -41,7 +43,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def in_arrow(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` whose function sees record batches of at most ``SLICE_BYTES`` of text each."""
+    """``mapInArrow`` whose function sees record batches of at most ``SLICE_BYTES`` of text each.
+
+    Workers find this package where the driver has it; where machines share no such folder, ship
+    it with ``--py-files``.
+    """
+    known = df.sparkSession.sparkContext.environment
+    paths = known.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return fn(slices(batches))
