@@ -112,6 +112,19 @@ def special_days(spark, sf):
     return special_day_effect(flights, special_day_calendar(years))
 
 
+@query(
+    "special_day_two_digits",
+    f"""SELECT event_id, {_kind_sql('ts')} AS "AssumedEffect_Text" FROM events""",
+)
+def special_days_two_digits(spark, sf):
+    """The calendar in the file's own form, month/day/two digits of the year."""
+    (events,) = tables(spark, sf, "events")
+    rows = events.select("event_id", F.to_date("ts").cast("string").alias("FL_DATE"))
+    calendar = special_day_calendar(events.select(F.year("ts").alias("YEAR")))
+    short = calendar.withColumn("SpecialDate", F.regexp_replace("SpecialDate", r"/..(\d\d)$", "/$1"))
+    return special_day_effect(rows, short).select("event_id", "AssumedEffect_Text")
+
+
 def _tracker_sql(kind: str, out: str) -> str:
     return f"""
 WITH e AS (

@@ -53,6 +53,18 @@ def csv_roundtrip(spark, sf):
     )
 
 
+@query(
+    "glob_scan",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS "YEAR", count(*) AS n_rows FROM orders
+WHERE year(o_orderdate) BETWEEN 1995 AND 1999 GROUP BY ALL""",
+)
+def glob_scan(spark, sf):
+    """A glob picks some of the folders of a stage."""
+    path = _folder(spark)
+    sinks.write_stage(s.plain_orders(spark, sf).withColumn("y", F.col("YEAR")), path, "y")
+    return readers.read_parquet(spark, f"{path}/y=199[5-9]").groupBy("YEAR").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(
     "text_roundtrip",
     """SELECT CAST(l_orderkey AS VARCHAR) AS src, CAST(l_suppkey AS VARCHAR) AS dst FROM lineitem""",
