@@ -37,7 +37,7 @@ from delaykit.llm.common import MIX, gram_hashes, hash_strings, in_arrow, mix, s
 
 WINDOW = 20
 ANCHOR = 8
-SIEVE_MIN, SIEVE_MAX = 24, 31
+SIEVE_MIN, SIEVE_MAX = 24, 29
 HELD_WINDOWS = 3_000_000
 LATEST = 2**63 - 1
 
@@ -82,7 +82,7 @@ class Windows:
 def sieve_of(docs: DataFrame, window: int) -> tuple[np.ndarray, int]:
     """Bits of the anchors that occur at two places or more.
 
-    The size follows the number of such anchors, up to 2**31 bits (256 MB).
+    The size follows the number of such anchors, up to 2**29 bits (64 MB); beyond, more places pass.
     """
 
     def emit(batches):
@@ -140,29 +140,50 @@ def spans(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, stop: np.ndarray)
     return doc[heads], tie[heads], start[heads], (reach - lift)[tails]
 
 
-ROW = "key long, h1 long, h2 int, doc long, tie long, start int, stop int"
-NAMES = [c.split()[0] for c in ROW.split(", ")]
+COLUMNS = {"h1": np.int64, "h2": np.int32, "doc": np.int64, "tie": np.int64, "start": np.int32, "stop": np.int32}
 
 
-def batch_of(*columns: np.ndarray) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype(), copy=False)) for c, k in zip(columns, kinds)], NAMES)
+def schema_of(names: list[str]) -> str:
+    return "part int, " + ", ".join(f"{n} array<{'long' if COLUMNS[n] is np.int64 else 'int'}>" for n in names)
+
+
+def packed(key: np.ndarray, parts: int, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Rows dealt by ``key``: one row of arrays per part that gets any, so that a million windows cross
+    the shuffle as a few blocks."""
+    part = (key.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+    by = np.argsort(part, kind="stable")
+    part = part[by]
+    heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    offsets = pa.array(np.concatenate([heads, [len(part)]]), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(v[by].astype(COLUMNS[n], copy=False))) for n, v in columns.items()]
+    return pa.RecordBatch.from_arrays([pa.array(part[heads]), *lists], ["part", *columns])
+
+
+def unpacked(batches, names: list[str]) -> dict[str, np.ndarray] | None:
+    """All arrays of a partition, joined; None if it has no rows."""
+    got = [[c.flatten().to_numpy(zero_copy_only=False) for c in b.columns[1:]] for b in batches]
+    return dict(zip(names, (np.concatenate(x) for x in zip(*got)))) if got else None
+
+
+WINDOWS, SPANS = ["h1", "h2", "doc", "tie", "start"], ["doc", "tie", "start", "stop"]
 
 
 def settled_spans(docs: DataFrame, window: int) -> DataFrame:
-    """(doc, tie, start, stop) word spans to remove."""
+    """(doc, tie, starts, stops) word spans to remove, one row per document that has any."""
     spark = docs.sparkSession
     sieve, bits = sieve_of(docs, window)
     shared = spark.sparkContext.broadcast(sieve)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def flush(held):
-        h1, h2, doc, tie, start = (np.concatenate(x) for x in zip(*held))
-        first = earliest((h1, h2), (doc, tie, start))
-        gone = ~first
-        d, t, a, b = spans(doc[gone], tie[gone], start[gone], start[gone] + window)
-        # a span travels as a row without hashes, dealt by its document
-        yield batch_of(d ^ t, np.zeros(len(d)), np.zeros(len(d)), d, t, a, b)
-        yield batch_of(h1[first].view(np.int64), h1[first].view(np.int64), h2[first], doc[first], tie[first], start[first], np.zeros(first.sum()))
+        w = dict(zip(WINDOWS, (np.concatenate(x) for x in zip(*held))))
+        first = earliest((w["h1"], w["h2"]), (w["doc"], w["tie"], w["start"]))
+        # windows settled here ride along as spans: they have a stop and no part in the comparison
+        gone = dict(zip(SPANS, spans(*(w[n][~first] for n in SPANS[:3]), w["start"][~first] + window)))
+        none = np.zeros(len(gone["doc"]), np.int64)
+        yield packed(mix(gone["doc"].view(np.uint64)), parts, {"h1": none, "h2": none, **gone})
+        kept = {n: w[n][first] for n in WINDOWS}
+        yield packed(kept["h1"], parts, {**kept, "stop": np.zeros(len(kept["h1"]), np.int32)})
 
     def look(batches):
         held, size = [], 0
@@ -180,7 +201,7 @@ def settled_spans(docs: DataFrame, window: int) -> DataFrame:
                 h1, h2 = h1 * MIX + x, h2 * np.uint64(0xC2B2AE3D27D4EB4F) + (x ^ (x >> np.uint64(31)))
             doc = pc.fill_null(batch.column(0), LATEST).to_numpy(zero_copy_only=False)
             tie = batch.column(2).to_numpy(zero_copy_only=False)
-            held.append((mix(h1), (mix(h2) >> np.uint64(33)).astype(np.int32), doc[row], tie[row], (at - w.offsets[row]).astype(np.int32)))
+            held.append((mix(h1).view(np.int64), (mix(h2) >> np.uint64(33)).astype(np.int32), doc[row], tie[row], (at - w.offsets[row]).astype(np.int32)))
             size += len(at)
             if size >= HELD_WINDOWS:
                 yield from flush(held)
@@ -189,22 +210,30 @@ def settled_spans(docs: DataFrame, window: int) -> DataFrame:
             yield from flush(held)
 
     def settle(batches):
-        got = [[c.to_numpy(zero_copy_only=False) for c in b.columns[1:]] for b in batches]
-        if not got:
+        w = unpacked(batches, [*WINDOWS, "stop"])
+        if w is None:
+            return
+        ready = w["stop"] > 0
+        old = [w[n][ready] for n in SPANS]
+        w = {n: v[~ready] for n, v in w.items()}
+        gone = ~earliest((w["h1"], w["h2"]), (w["doc"], w["tie"], w["start"]))
+        new = [*(w[n][gone] for n in SPANS[:3]), w["start"][gone] + window]
+        out = dict(zip(SPANS, spans(*(np.concatenate(x) for x in zip(old, new)))))
+        yield packed(mix(out["doc"].view(np.uint64)), parts, out)
+
+    def gather(batches):
+        w = unpacked(batches, SPANS)
+        if w is None:
             return
-        h1, h2, doc, tie, start, stop = (np.concatenate(x) for x in zip(*got))
-        del got
-        ready = stop > 0
-        d, t, a, b = doc[ready], tie[ready], start[ready], stop[ready]
-        h1, h2, doc, tie, start = (x[~ready] for x in (h1, h2, doc, tie, start))
-        gone = ~earliest((h1, h2), (doc, tie, start))
-        out = spans(*(np.concatenate([x, y]) for x, y in ((d, doc[gone]), (t, tie[gone]), (a, start[gone]), (b, start[gone] + window))))
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(k.to_pandas_dtype())) for x, k in zip(out, kinds)], ["doc", "tie", "start", "stop"])
+        doc, tie, start, stop = spans(*w.values())
+        heads = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])])) if len(doc) else np.zeros(0, np.int64)
+        offsets = pa.array(np.concatenate([heads, [len(doc)]]), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (start, stop)]
+        yield pa.RecordBatch.from_arrays([pa.array(doc[heads]), pa.array(tie[heads]), *lists], ["doc", "tie", "starts", "stops"])
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = in_arrow(docs, look, ROW).repartition(parts, "key")
-    return dealt.mapInArrow(settle, "doc long, tie long, start int, stop int")
+    looked = in_arrow(docs, look, schema_of([*WINDOWS, "stop"])).repartitionById(parts, "part")
+    settled = looked.mapInArrow(settle, schema_of(SPANS)).repartitionById(parts, "part")
+    return settled.mapInArrow(gather, "doc long, tie long, starts array<int>, stops array<int>")
 
 
 def cut_rows(df: DataFrame, window: int, id_col: str, text_col: str, columns: list[str], digest: bool) -> DataFrame:
@@ -215,9 +244,7 @@ def cut_rows(df: DataFrame, window: int, id_col: str, text_col: str, columns: li
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LATEST))
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(text).alias("tie"))
-    cuts = settled_spans(docs, window).groupBy("doc", "tie").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")
-    )
+    cuts = settled_spans(docs, window)
     rows = df.select(
         doc.alias("doc"), F.xxhash64(text).alias("tie"),
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text_col}`").alias("text"),
