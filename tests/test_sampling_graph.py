@@ -122,3 +122,31 @@ def test_source_vertices_only(spark, rows):
     assert {r["id"] for r in pagerank(edges).collect()} == {"a", "b", "c"}
     only = {r["id"]: r["pagerank"] for r in pagerank(edges, source_vertices_only=True).collect()}
     assert only.keys() == {"a", "b"} and abs(only["a"] - 1) < 1e-9
+
+
+def test_pagerank_ends_only_when_nothing_moves(spark):
+    """Two hubs with many leaves pass changes to each other for longer than a few rounds."""
+    import pytest
+
+    from delaykit.operators.pagerank import pagerank
+
+    pairs = [(f"leaf{i}", f"hub{i % 2}", 1) for i in range(400)] + [("hub0", "hub1", 1), ("hub1", "hub0", 1)]
+    edges = spark.createDataFrame(pairs, "src string, dst string, n_edges long")
+    ranks = pagerank(edges, with_change=True).collect()
+    assert max(r["change"] for r in ranks) <= 0.01 and abs(sum(r["pagerank"] for r in ranks) - 402) < 1e-6
+    top = {r["id"]: r["pagerank"] for r in ranks}
+    assert abs(top["hub0"] - top["hub1"]) < 1e-9 and abs(top["hub0"] - 171) < 0.05  # r = 0.15 + 0.85 * (30 + r)
+    with pytest.raises(RuntimeError, match="left after 5 rounds"):
+        pagerank(edges, max_rounds=5)
+
+
+def test_spearman_leaves_nulls_without_a_rank(spark):
+    from delaykit.operators.correlation import spearman_matrix
+    from delaykit.operators.ranks import average_ranks
+
+    data = [(float(i), float(i) if i % 2 else None, float(-i)) for i in range(20)]
+    df = spark.createDataFrame(data, "x double, y double, z double")
+    got = sorted((r["x"], r["y"]) for r in average_ranks(df, ["x", "y", "z"]).collect() if r["y"] is not None)
+    assert got == [(2.0 * k + 2, float(k + 1)) for k in range(10)]
+    corr = {(r["row_name"], r["col_name"]): round(r["corr"], 9) for r in spearman_matrix(df, ["x", "y", "z"]).collect()}
+    assert corr["x", "y"] == 1.0 and corr["y", "z"] == -1.0 and corr["x", "z"] == -1.0
