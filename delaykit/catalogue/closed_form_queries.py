@@ -12,20 +12,27 @@ from delaykit.ml.preparation import build_pipeline
 from delaykit.ml.selection import best_row, mean_metrics, top_settings
 from delaykit.operators.metrics import SCORES, threshold_table
 
-_RATES_SQL = """SELECT o_orderpriority, round(avg(CAST(o_orderstatus = 'F' AS INTEGER)), 3) AS rate
+# Probabilities are added up: their sum over a group is its number of delays, a whole number, so
+# rounding cannot fall on either side of a tie.
+_TOTALS_SQL = """SELECT o_orderpriority, count(*) AS n_rows, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_delayed
 FROM orders GROUP BY o_orderpriority"""
 
 
+def _totals(scored, group):
+    total = F.round(F.sum("predicted_probability")).cast("long")
+    return scored.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"), total.alias("n_delayed"))
+
+
 def _by_priority(spark, sf, family, settings):
     (orders,) = tables(spark, sf, "orders")
     rows = orders.select("o_orderpriority", (F.col("o_orderstatus") == "F").cast("double").alias("y"))
     chosen = FeatureSet("priority", ("o_orderpriority",), ())
     ready = build_pipeline(rows, chosen, one_hot=True).transform(rows)
     scored = score_rows(make_estimator(family, settings, "y").fit(ready), ready)
-    return scored.groupBy("o_orderpriority").agg(F.round(F.avg("predicted_probability"), 3).alias("rate"))
+    return _totals(scored, "o_orderpriority")
 
 
-@query("closed_lr_group_rates", _RATES_SQL)
+@query("closed_lr_group_rates", _TOTALS_SQL)
 def closed_lr(spark, sf):
     """An unregularised regression on one one-hot column ends at the rate of every group."""
     settings = {"regParam": 0.0, "maxIter": 100, "tol": 1e-10}
@@ -36,7 +43,8 @@ def closed_lr(spark, sf):
     "closed_rf_leaf_shares",
     """WITH rows AS (
   SELECT CASE WHEN o_orderpriority < '3' THEN 'urgent' ELSE 'later' END AS kind, floor(o_totalprice) % 10 AS digit FROM orders)
-SELECT kind, round(avg(CAST(digit < CASE WHEN kind = 'urgent' THEN 7 ELSE 3 END AS INTEGER)), 3) AS rate FROM rows GROUP BY kind""",
+SELECT kind, count(*) AS n_rows, count(*) FILTER (WHERE digit < CASE WHEN kind = 'urgent' THEN 7 ELSE 3 END) AS n_delayed
+FROM rows GROUP BY kind""",
 )
 def closed_rf(spark, sf):
     """One tree over all rows and one categorical has a leaf for every group (of groups with the
@@ -48,7 +56,7 @@ def closed_rf(spark, sf):
     ready = build_pipeline(rows, FeatureSet("kind", ("kind",), ()), one_hot=False).transform(rows)
     settings = {"numTrees": 1, "maxDepth": 4, "bootstrap": False, "featureSubsetStrategy": "all"}
     scored = score_rows(make_estimator("rf", settings, "y").fit(ready), ready)
-    return scored.groupBy("kind").agg(F.round(F.avg("predicted_probability"), 3).alias("rate"))
+    return _totals(scored, "kind")
 
 
 _RULE = FeatureSet("rule", ("o_orderpriority",), ("quarter_of_price",))
