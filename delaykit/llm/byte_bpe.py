@@ -38,6 +38,14 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def flat_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all strings in a row, their offsets); no nulls."""
+    at = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+    data = values.buffers()[2]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[at[0] : at[-1]], at - at[0]
+
+
 class ByteBpe:
     """Vocabulary and merges of a tokenizers file; ``path`` must be readable where it is made."""
 
@@ -51,12 +59,14 @@ class ByteBpe:
         back = {c: b for b, c in chars.items()}
         top = max([*vocab.values(), *self.special.values()]) + 1
         tokens = [b""] * top
+        suffix = model.get("end_of_word_suffix") or ""
         for text, i in vocab.items():
-            tokens[i] = bytes(back[c] for c in text)
+            tokens[i] = bytes(back[c] for c in text.removesuffix(suffix))
         for text, i in self.special.items():
             tokens[i] = text.encode()
         self.tokens = tokens
-        self.first = np.array([vocab[chars[b]] for b in range(256)], np.int32)
+        # codes 0 to 255: a byte; 256 to 511: a byte at the end of its run
+        self.start = np.array([vocab[chars[b] + end] for end in ("", suffix) for b in range(256)], np.int32)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         a = np.array([vocab[x] for x, _ in pairs], np.int64)
         b = np.array([vocab[y] for _, y in pairs], np.int64)
@@ -68,6 +78,8 @@ class ByteBpe:
         late = max((max(rank_of.get(int(x), -1), rank_of.get(int(y), -1)) - r for r, (x, y) in enumerate(zip(a, b))), default=-1)
         if late >= 0 or len(rank_of) != len(made):
             raise ValueError("a merge uses a token that a later merge makes")
+        pair = np.arange(512 * 512)
+        self.start_ranks = self.pair_ranks(self.start[pair >> 9], self.start[pair & 511]).astype(np.int32)
         self.split = regex.compile(PATTERN)
         self.library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         self.back = back
@@ -131,12 +143,13 @@ class ByteBpe:
         parts, so joining all places at once gives what joining them one by one gives.
         """
         count = len(offsets) - 1
-        symbols = self.first[data]
+        codes = data.astype(np.int32)
+        codes[offsets[1:][np.diff(offsets) > 0] - 1] += 256
+        symbols = self.start[codes]
         run = owners(offsets)
         done_ids, done_runs = [], []
         ranks = np.full(len(symbols), NONE, np.int32)
-        inside = np.flatnonzero(run[1:] == run[:-1])
-        ranks[inside] = self.pair_ranks(symbols[inside], symbols[inside + 1])
+        ranks[:-1] = np.where(codes[:-1] < 256, self.start_ranks[codes[:-1] << 9 | codes[1:]], NONE)
         while len(symbols):
             heads = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
             lowest = np.minimum.reduceat(ranks, heads)
@@ -198,7 +211,7 @@ class ByteBpe:
                     run = b""
                 hard.append(run)
             runs_of[row] = len(hard) - before
-        data = np.frombuffer(b"".join([*plain.cast(pa.binary()).to_pylist(), *hard]), np.uint8)
+        data = np.concatenate([flat_bytes(plain)[0], np.frombuffer(b"".join(hard), np.uint8)])
         ends = np.cumsum(np.fromiter(map(len, hard), np.int64, len(hard)))
         n_plain = len(edges) - 1
         offsets = np.concatenate([edges, edges[-1] + ends]).astype(np.int64)
@@ -212,9 +225,7 @@ class ByteBpe:
             pa.binary(), len(fine) - 1, [None, pa.py_buffer(fine.astype(np.int32)), pa.py_buffer(data)]
         ).dictionary_encode()
         distinct = fragments.dictionary
-        lengths = pc.binary_length(distinct).to_numpy(zero_copy_only=False)
-        at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        ids, ends = self.merge(np.frombuffer(b"".join(distinct.to_pylist()), np.uint8), at)
+        ids, ends = self.merge(*flat_bytes(distinct))
         flat, ends = ragged_take(ids, ends, fragments.indices.to_numpy(zero_copy_only=False))
         run_ends = ends[np.searchsorted(fine, offsets, "right") - 1] if cut else ends
         if specials:  # an added token stands as an empty run: its id goes in at that place

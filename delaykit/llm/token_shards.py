@@ -18,6 +18,7 @@ by a rename, so a task that runs twice leaves one whole file.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -32,10 +33,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from delaykit.llm.byte_bpe import MARKS, ByteBpe, flat_bytes
 from delaykit.llm.common import in_arrow, ragged_take, slices, split_words
 
+LATIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+SIMPLE = f"^[{LATIN}]+[{MARKS}]*$"
 MAGIC = b"WMX1"
 BLOCK = 64
+STEP = 20_000
+#: Fixed value: the split pattern of this family of tokenizers; letters and other marks never join.
+LETTERS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WaveletMatrix:
@@ -51,9 +58,10 @@ class WaveletMatrix:
         depth = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         planes = np.zeros((depth, len(ids) // BLOCK + 1), np.uint64)
         zeros = np.zeros(depth, np.int64)
-        current = ids.astype(np.uint32)
+        kind = np.uint16 if depth <= 16 else np.uint32
+        current = ids.astype(kind)
         for level in range(depth):
-            bit = (current >> np.uint32(depth - 1 - level)) & np.uint32(1) == 1
+            bit = (current & kind(1 << (depth - 1 - level))).astype(bool)
             packed = np.packbits(bit, bitorder="little")
             planes[level].view(np.uint8)[: len(packed)] = packed
             current = np.concatenate([current[~bit], current[bit]])
@@ -82,14 +90,15 @@ class WaveletMatrix:
     def decode(self) -> np.ndarray:
         """All ids: planes from the lowest up, each undoing one split by its bit."""
         depth = len(self.planes)
-        out = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if depth <= 16 else np.uint32
+        out = np.zeros(self.size, kind)
         for level in range(depth - 1, -1, -1):
             raw = np.unpackbits(self.planes[level].view(np.uint8), count=self.size, bitorder="little").view(bool)
             back = np.empty_like(out)
             back[~raw] = out[: self.zeros[level]]
-            back[raw] = out[self.zeros[level] :] | np.uint32(1 << (depth - 1 - level))
+            back[raw] = out[self.zeros[level] :] | kind(1 << (depth - 1 - level))
             out = back
-        return out
+        return out.astype(np.uint32)
 
     def rank(self, token: int, at: int) -> int:
         """How often ``token`` stands before place ``at``."""
@@ -157,24 +166,67 @@ def unpack_shard(data: bytes) -> tuple[pa.Array, np.ndarray, WaveletMatrix]:
     return pa.array(keys, mask=nulls), ends, WaveletMatrix(planes, zeros, size)
 
 
-@lru_cache(maxsize=2)
-def library(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+class WordEncoder:
+    """The library's ids of texts, each distinct word of a slice worked on once.
+
+    Right for tokenizers that neither join nor look across ASCII white space, as those that drop it:
+    then a text's ids are those of its words in a row. If the file has the split pattern ``LETTERS``
+    and lower-cases, a word of Latin letters with stops behind it is further parted into its letters,
+    in lower case, and its stops. All such letters are merged in step (see ``byte_bpe``), which gives
+    the library's ids; everything else goes through the library.
+    """
 
+    def __init__(self, path: str):
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = f.read()
+        self.parted = json.dumps(LETTERS)[1:-1] in spec and '"Lowercase"' in spec and '"ByteLevel"' in spec
+        self.bpe = ByteBpe(path) if self.parted else None
+
+    def _letters(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not len(pieces):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        ids, at = self.bpe.merge(*flat_bytes(pieces))
+        return ids.astype(np.uint32), at
+
+    def _others(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts, lengths = [np.zeros(0, np.uint32)], []
+        for start in range(0, len(pieces), STEP):  # the library's results are large: a step at a time
+            ids = [e.ids for e in self.library.encode_batch_fast(pieces[start : start + STEP], add_special_tokens=False)]
+            lengths += map(len, ids)
+            parts.append(np.array([i for own in ids for i in own], np.uint32))
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))]).astype(np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, offsets of the texts)"""
+        words, offsets = split_words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary
+        simple = pc.match_substring_regex(distinct, SIMPLE) if self.parted else pa.array(np.zeros(len(distinct), bool))
+        easy = simple.to_numpy(zero_copy_only=False).astype(bool)
+        plain = distinct.filter(simple)
+        body = pc.utf8_rtrim(plain, MARKS)
+        tail = pc.utf8_ltrim(plain, LATIN)
+        bodies, tails = pc.utf8_lower(body).dictionary_encode(), tail.dictionary_encode()
+        ids, at = self._letters(bodies.dictionary)
+        more, to = self._others(tails.dictionary.to_pylist() + distinct.filter(pc.invert(simple)).to_pylist())
+        ids, at = np.concatenate([ids, more]), np.concatenate([at, at[-1] + to[1:]])
+        # every distinct word as two pieces: letters and stops, or the whole word and nothing
+        pair = np.full((len(distinct), 2), len(at) - 1, np.int64)
+        pair[easy, 0] = bodies.indices.to_numpy(zero_copy_only=False)
+        pair[easy, 1] = len(bodies.dictionary) + tails.indices.to_numpy(zero_copy_only=False)
+        pair[~easy, 0] = len(bodies.dictionary) + len(tails.dictionary) + np.arange(int((~easy).sum()))
+        flat, ends = ragged_take(ids, np.append(at, at[-1]), pair.ravel())
+        flat, ends = ragged_take(flat, ends[::2], coded.indices.to_numpy(zero_copy_only=False))
+        return flat, ends[offsets]
 
-def encode_words(tokenizer: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(flat ids, offsets of the texts): each distinct word of the slice goes through the library once.
 
-    Right for tokenizers that never join or look across ASCII white space, as those that drop it.
-    """
-    words, offsets = split_words(texts)
-    coded = words.dictionary_encode()
-    encoded = tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)
-    parts = [e.ids for e in encoded]
-    at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
-    ids = np.fromiter((i for p in parts for i in p), np.uint32, int(at[-1]))
-    flat, ends = ragged_take(ids, at, coded.indices.to_numpy(zero_copy_only=False))
-    return flat, ends[offsets]
+@lru_cache(maxsize=2)
+def encoder(path: str) -> WordEncoder:
+    """One encoder per Python worker."""
+    return WordEncoder(path)
 
 
 def filesystem(uri: str):
@@ -203,15 +255,15 @@ def write_shards(
     cuts = np.unique(np.array(cuts or [], np.int64))
 
     def encode(batches):
-        t = library(tokenizer_path)
-        t.no_truncation(), t.no_padding()
+        own = encoder(tokenizer_path)
         for batch in batches:
-            ids, at = encode_words(t, batch.column(1))
+            ids, at = own.encode(batch.column(1))
             n = np.diff(at)
             # the end id goes in behind every document
             full = np.insert(ids, at[1:], end_id)
-            raw, ends = full.astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(n + 1)])
-            body = pa.array([raw[4 * a : 4 * b] for a, b in zip(ends, ends[1:])], pa.binary())
+            ends = np.concatenate([[0], np.cumsum(n + 1)])
+            parts = [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(full.astype("<u4"))]
+            body = pa.Array.from_buffers(pa.binary(), len(n), parts)
             key = pc.fill_null(batch.column(0), -(2**63)).to_numpy(zero_copy_only=False)
             shard = pa.array(np.searchsorted(cuts, key, "right"), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), shard, body], ["doc_id", "shard", "ids"])
@@ -228,7 +280,7 @@ def write_shards(
         keys, parts, lengths = [], [], []
         for batch in slices(batches):
             keys.append(batch.column(0))
-            parts.append(np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(1)]))
+            parts.append(flat_bytes(batch.column(1))[0].view("<u4").astype(np.uint32))
             lengths.append(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False) // 4)
         if not keys:
             return

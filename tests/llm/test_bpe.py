@@ -59,7 +59,7 @@ def test_forced_cuts_never_split_a_token(codec):
 
 
 def test_invalid_bytes_become_replacements(codec):
-    ids = codec.bpe.first[np.frombuffer(b"a\xe9b\xf0\x9f", np.uint8)].astype(np.int64)
+    ids = codec.bpe.start[np.frombuffer(b"a\xe9b\xf0\x9f", np.uint8)].astype(np.int64)
     assert codec.decode(ids, np.array([0, len(ids)])) == [b"a\xe9b\xf0\x9f".decode("utf-8", "replace")]
 
 
@@ -150,3 +150,13 @@ def test_ids_differ_only_by_text(spark):
     docs = documents(spark, [(1, "x"), (1, "x"), (1, "y")])
     got = bpe_codec.round_trip(docs, BYTE_BPE).groupBy("ids_sha256").agg(F.count("*").alias("n")).collect()
     assert sorted(r["n"] for r in got) == [1, 2]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=30), st.lists(st.sampled_from([*PARTS, "Über", "naïve.", "ÀÉ!!", "ß", "ª", "İ", "Σ,"]), max_size=12).map("".join)), max_size=5))
+def test_word_encoder_as_the_library(texts):
+    own = token_shards.encoder(WORD_BPE)
+    ids, at = own.encode(pa.array(texts, pa.string()))
+    for i, e in enumerate(own.library.encode_batch([t or "" for t in texts], add_special_tokens=False)):
+        assert ids[at[i] : at[i + 1]].tolist() == e.ids, texts[i]
+    assert own.parted
