@@ -100,7 +100,9 @@ def near_duplicates(df: DataFrame, shingle: int = 3, id_col: str = "doc_id", tex
     known = classes.join(smallest, "fp", "left").select(
         "fp", F.coalesce("component", "first").alias("component_id")
     )
-    # equal fingerprints may be a third of all rows: the join below splits such a partition
+    # equal fingerprints may be a third of all rows: with both sides read from files, adaptive
+    # execution splits the partition of such a fingerprint
+    known = written(known, "known")
     return rows.join(known, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
