@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from delaykit.llm import (
     bpe_codec,
+    conversation_repair,
     decontamination,
     quality_gam,
     quality_rules,
+    secret_scan,
     simhash,
+    simplex_clusters,
     substrings,
     token_counts,
     token_shards,
@@ -67,11 +71,24 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.judge(table(spark, sf, "documents"))
+
+
+def op12_simplex_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return simplex_clusters.clusters(table(spark, sf, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_repair.judge(table(spark, sf, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_gam, op2_toxicity_kn, op3_token_counts, op4_token_shards, op5_bpe_codec, op6_simhash,
         op7_substring_dedup, op8_decontamination, op9_url_rules, op10_quality_rules,
+        op11_secret_scan, op12_simplex_clusters, op13_conversation_repair,
     )
 }
 
@@ -130,3 +147,99 @@ SELECT w.doc_id, len(w.w) AS n_words, len(w.w) - coalesce(k.n, 0) AS n_removed,
 FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """,
 }
+
+
+def kmeans_sql(k: int = 8, rounds: int = 10, dimension: int = 64, seed: int = 3) -> str:
+    """Plain rounds, one after the other: all distances, least of them, floors of the means."""
+    parts = [f"""
+WITH cells AS MATERIALIZED (
+  SELECT r, vec_id, i, CASE WHEN isfinite(x) THEN CAST(floor(1024 * x) AS BIGINT) END AS x
+  FROM (SELECT r, vec_id, i, CAST(embedding[i] AS DOUBLE) AS x
+        FROM (SELECT row_number() OVER () AS r, vec_id, embedding, unnest(range(1, {dimension + 1})) AS i FROM embeddings WHERE len(embedding) = {dimension}))
+), good AS MATERIALIZED (
+  SELECT * FROM cells WHERE r IN (SELECT r FROM cells GROUP BY r HAVING count(x) = {dimension})
+), c0 AS MATERIALIZED (
+  SELECT n - 1 AS k, i, x FROM good JOIN (
+    SELECT r, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) AS n FROM (SELECT DISTINCT r, vec_id FROM good)
+  ) USING (r) WHERE n <= {k}
+)"""]
+    near = """a{n} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, min(d * {k} + k) % {k} AS k, min(d * {k} + k) // {k} AS d FROM (
+    SELECT r, vec_id, k, sum((good.x - c{n}.x) * (good.x - c{n}.x))::BIGINT AS d FROM good JOIN c{n} USING (i) GROUP BY r, vec_id, k
+  ) GROUP BY r
+)"""
+    move = """c{m} AS MATERIALIZED (
+  SELECT c{n}.k, c{n}.i, coalesce((s - ((s % z + z) % z)) // z, c{n}.x)::BIGINT AS x FROM c{n} LEFT JOIN (
+    SELECT k, i, sum(x)::BIGINT AS s, count(*) AS z FROM good JOIN a{n} USING (r) GROUP BY k, i
+  ) AS t ON c{n}.k = t.k AND c{n}.i = t.i
+)"""
+    for n in range(rounds):
+        parts += [near.format(n=n, k=k), move.format(n=n, m=n + 1)]
+    parts.append(near.format(n=rounds, k=k))
+    parts.append(f"digests AS (SELECT k, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY k)")
+    return ", ".join(parts) + f"""
+SELECT vec_id, k::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN digests USING (k)
+"""
+
+
+def secrets_sql(window: int = secret_scan.WINDOW) -> str:
+    """Every window of every candidate counted anew."""
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    kinds = [(rank, kind, p) for rank, (kind, p, _) in enumerate(secret_scan.BASE)] + [(3, "run", f"[A-Za-z0-9+/_=-]{{{window},}}")]
+    found = " UNION ALL ".join(
+        f"SELECT r, {rank} AS rank, '{kind}' AS kind, regexp_extract_all(t, {quoted('(' + p + ')')}, 1) AS f, string_split_regex(t, {quoted(p)}) AS g FROM docs"
+        for rank, kind, p in kinds
+    )
+    least = next(n for kind, _, n in secret_scan.BASE if kind == "assign")
+    allowed = " OR ".join(f"regexp_matches(f, {quoted(a)})" for a in secret_scan.ALLOWED)
+    whole = round(math.log2(window) * secret_scan.SCALE * window)
+    count = lambda c: f"length(regexp_replace(s, '[^{c}]', '', 'g'))"
+    limits = secret_scan.LIMITS
+    return f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+flat AS (SELECT r, rank, kind, unnest(f) AS f, unnest(g[1:len(f)]) AS g, generate_subscripts(f, 1) AS i FROM found WHERE len(f) > 0),
+placed AS MATERIALIZED (
+  SELECT r, rank, kind, f, i, (sum(length(g)) OVER w + sum(length(f)) OVER w - length(f))::BIGINT AS a
+  FROM flat WINDOW w AS (PARTITION BY r, rank ORDER BY i ROWS UNBOUNDED PRECEDING)
+),
+base AS MATERIALIZED (
+  SELECT r, rank, kind, a, a + length(f) AS b FROM placed
+  WHERE rank < 3 AND (rank > 0 OR length(regexp_extract(f, {quoted(secret_scan.ASSIGN)}, 1)) >= {least})
+),
+windows AS (
+  SELECT r, i, a, w, substr(f, w + 1, {window}) AS s
+  FROM (SELECT r, i, a, f, unnest(range(0, length(f) - {window} + 1)) AS w FROM placed WHERE rank = 3 AND NOT ({allowed}))
+),
+letters AS (SELECT r, i, w, c, count(*) AS n FROM (SELECT r, i, w, unnest(string_split(s, '')) AS c FROM windows) GROUP BY ALL),
+sums AS (SELECT r, i, w, {whole} - sum(round(n * log2(n) * {secret_scan.SCALE})) AS e FROM letters GROUP BY ALL),
+classed AS (
+  SELECT r, i, a, w, {count('a-f')} AS l1, {count('g-z')} AS l2, {count('A-F')} AS u1, {count('G-Z')} AS u2, {count('0-9')} AS d, {count('+/_=-')} AS o FROM windows
+),
+flagged AS (
+  SELECT r, i, a, w FROM classed JOIN sums USING (r, i, w) WHERE e >= {window} * CASE
+    WHEN d > 0 AND l2 + u2 + o = 0 AND l1 + u1 > 0 AND (l1 = 0 OR u1 = 0) THEN {limits['hex']}
+    WHEN l1 + l2 > 0 AND u1 + u2 > 0 AND d > 0 THEN {limits['mixed']}
+    WHEN d >= 4 AND l1 + l2 + u1 + u2 > 0 AND (l1 + l2 = 0 OR u1 + u2 = 0) THEN {limits['plain']} END
+),
+islands AS (
+  SELECT r, i, a, w, sum(fresh) OVER (PARTITION BY r, i ORDER BY w) AS island
+  FROM (SELECT *, CASE WHEN w <= lag(w) OVER (PARTITION BY r, i ORDER BY w) + {window} THEN 0 ELSE 1 END AS fresh FROM flagged)
+),
+added AS (SELECT r, any_value(a) + min(w) AS a, any_value(a) + max(w) + {window} AS b FROM islands GROUP BY r, i, island),
+every AS (
+  SELECT r, rank, kind, a, b FROM base UNION ALL
+  SELECT r, 3, 'entropy', a, b FROM added WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.r = added.r AND base.a <= added.a AND base.b >= added.b)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+  count(*) FILTER (rank = 2) AS n_hex,
+  sha256(coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (rank < 3), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank), '') AS spans
+FROM docs LEFT JOIN every USING (r) GROUP BY r
+"""
+
+
+SQL["op11_secret_scan"] = secrets_sql()
+SQL["op12_simplex_clusters"] = kmeans_sql()
