@@ -7,7 +7,7 @@ import sys
 import numpy as np
 import pytest
 from helpers import awkward, documents, plain_repeats, plain_shingles
-from test_dedup import plain_near
+from test_near_copies import plain_copies
 from tokenizers import Tokenizer
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -37,7 +37,7 @@ def test_pipeline_as_plain(spark):
     kept = {r["doc_id"] for r in quality_rules.judge(docs).filter("kept").collect()}
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] in kept]
     assert 0.5 * docs.count() < len(rows) < docs.count()
-    near = {i: c for i, _, c in plain_near(rows)}
+    near = dict(plain_copies(rows))
     rows = [(i, t) for i, t in rows if near[i] == i]
     cut = plain_repeats(rows)
     rows = [(i, " ".join(cut[i][0]) if cut[i][1] else t) for i, t in rows]
@@ -65,3 +65,28 @@ def test_stages_on_awkward_and_empty_rows(spark):
                 assert out.columns == docs.columns and out.dtypes == docs.dtypes
             assert out.count() <= docs.count()
             docs = out
+
+
+def plain_stages(rows):
+    """Rows (doc_id, text) left by the stages that drop rows by their texts."""
+    items = [plain_shingles(r[0]) for r in ITEMS]
+    component = [c for _, c in plain_copies([((i is None, i or 0, n), t) for n, (i, t) in enumerate(rows)])]
+    order = sorted(range(len(rows)), key=lambda n: str((rows[n][0] is None, rows[n][0] or 0, n)))
+    near = [rows[n] for n, c in zip(order, component) if c == (rows[n][0] is None, rows[n][0] or 0, n)]
+    held = lambda t: any(s and 5 * len(s & plain_shingles(t)) >= 4 * len(s) for s in items)
+    return {"near_duplicates": near, "benchmark_items": [r for r in rows if not held(r[1])]}
+
+
+ITEMS = [("w1 w2 w3 w4 w5 w6 w7",), ("same text all over again same text all",), (None,), ("",)]
+
+
+def test_stages_decide_row_by_row(spark, tmp_path):
+    spark.createDataFrame([(n, t) for n, (t,) in enumerate(ITEMS)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = awkward() + awkward()[:12] + [(None, "x w1 w2 w3 w4 w5 w6 w7 y")] * 2
+    want = plain_stages(rows)
+    docs = documents(spark, rows)
+    for name, stage in corpus_pipeline.STAGES:
+        if name in want:
+            got = stage(spark, docs, str(tmp_path))
+            left = [tuple(r) for r in got.select("doc_id", "text").collect()]
+            assert sorted(left, key=str) == sorted(want[name], key=str)
