@@ -114,3 +114,17 @@ FEATURE_SETS = {
     ),
     "only_weather": FeatureSet("only_weather", _FLAGS, tuple(WEATHER_MEASURES)),
 }
+
+# --- fixed values: the published searches ---
+PUBLISHED_GRIDS = {
+    "lr": {"regParam": [0.0, 0.01, 0.5, 1.0, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [5, 10, 50]},
+    "lr_baseline": {"regParam": [0.0, 0.01, 0.5, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [5, 10]},
+    "gbt": {"maxIter": [5, 10], "maxDepth": [16, 8, 4], "maxBins": [128, 32, 16], "stepSize": [0.5, 0.1]},
+    "svm": {"regParam": [0.0, 0.01, 0.5, 2.0], "maxIter": [5, 10, 50]},
+}
+PUBLISHED_THRESHOLDS = {
+    "lr": [0.5, 0.6, 0.7, 0.8],
+    "lr_baseline": [0.5, 0.6, 0.7],
+    "gbt": [0.5, 0.6, 0.7],
+    "svm": [0.5, 0.6, 0.7, 0.8],
+}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+from pyspark import SparkContext
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -57,6 +59,36 @@ def score_rows(model, df: DataFrame, out: str = "predicted_probability") -> Data
     return model.transform(df).withColumn(out, score_column(model))
 
 
+def boosting_prefix(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model that boosting had after its first rounds."""
+    if rounds >= model.getNumTrees:
+        return model
+    gateway = SparkContext._gateway
+    java = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(java.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i, tree in enumerate(model.trees[:rounds]):
+        trees[i], weights[i] = tree._java_obj, float(model.treeWeights[i])
+    short = java.classification.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, 2)
+    return GBTClassificationModel(model._java_obj.copyValues(short, java.param.ParamMap()))
+
+
+def boosting_scores(model: GBTClassificationModel, df: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """``df`` with ``p<n>``, the positive probability after the first n rounds, for every n in ``lengths``.
+    Every tree is walked once; the margins are sums over the trees so far."""
+    kept, margin = df.columns, F.lit(0.0)
+    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
+        df = tree.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(f"__tree{i}").transform(df)
+        margin = margin + F.col(f"__tree{i}") * float(weight)
+        if i + 1 in lengths:
+            df = df.withColumn(f"p{i + 1}", 1 / (1 + F.exp(-2 * margin)))
+    # boosting may have been asked for more rounds than it has trees
+    for n in lengths:
+        if n > model.getNumTrees:
+            df = df.withColumn(f"p{n}", 1 / (1 + F.exp(-2 * margin)))
+    return df.select(*kept, *[f"p{n}" for n in lengths])
+
+
 def naive_predictions(df: DataFrame, out: str = "prediction") -> DataFrame:
     """The never-delayed baseline."""
     return df.withColumn(out, F.lit(0.0))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaykit.ml.estimators import make_estimator, score_rows
+from delaykit.ml.estimators import boosting_prefix, boosting_scores, make_estimator, score_rows
 from delaykit.operators.metrics import SCORES, threshold_table
 
 _COUNTS = ["tp", "tn", "fp", "fn"]
@@ -50,6 +50,29 @@ def expand_grid(grid: Mapping[str, Sequence[object]]) -> list[dict[str, object]]
     return [dict(zip(names, values)) for values in product(*grid.values())]
 
 
+def shared_fits(family: str, grid: Sequence[Mapping[str, object]]) -> list[list[dict[str, object]]]:
+    """The settings of a grid, in groups that one fit serves; the first of a group is the one to fit.
+
+    A boosted model holds every shorter one that differs from it in ``maxIter`` alone: rounds do not
+    look ahead, and draws follow the seed and the round. A regression without a penalty does not
+    depend on how the penalty would be mixed.
+    """
+    groups: dict[str, list[dict[str, object]]] = {}
+    for setting in map(dict, grid):
+        same = dict(setting)
+        if family == "gbt":
+            same.pop("maxIter", None)
+        if family == "lr" and same.get("regParam", 0.0) == 0.0:
+            same.pop("elasticNetParam", None)
+            same.pop("regParam", None)
+        groups.setdefault(json.dumps(same, sort_keys=True), []).append(setting)
+    if family == "gbt":
+        # a setting without maxIter has the estimator's own number, which is not known here to be longer
+        split = [[s for s in g if "maxIter" in s] for g in groups.values()] + [[s] for g in groups.values() for s in g if "maxIter" not in s]
+        return [sorted(g, key=lambda s: -s["maxIter"]) if len(g) > 1 else g for g in split if g]
+    return list(groups.values())
+
+
 def blocking_search(
     prepared: DataFrame,
     family: str,
@@ -62,7 +85,8 @@ def blocking_search(
     parallelism: int = 2,
     folds: Sequence[int] | None = None,
 ) -> SearchResult:
-    """Fit every setting on every fold and score all thresholds of a fit in one pass.
+    """Score every setting at every threshold on every fold. Settings that one fit serves
+    (:func:`shared_fits`) share it, and all of them and all thresholds are scored in one pass.
 
     ``prepared`` carries the features with ``fold`` and ``is_val``. It is kept for the length
     of the search (on disk where memory runs out) and let go in any case. Fits run in a
@@ -74,37 +98,48 @@ def blocking_search(
         numbers = folds or sorted(r[0] for r in rows.select(fold).distinct().collect())
 
         def run(task):
-            setting, number = task
-            text = json.dumps(setting, sort_keys=True)
-            model_id = f"{family}:{text}:{number}"
+            group, number = task
+            named = [(setting, json.dumps(setting, sort_keys=True)) for setting in group]
+            ids = [f"{family}:{text}:{number}" for _, text in named]
             mine = rows.filter(F.col(fold) == number)
             try:
-                model = make_estimator(family, setting, label, features).fit(
+                model = make_estimator(family, group[0], label, features).fit(
                     mine.filter(~F.col(is_val))
                 )
-                scored = score_rows(model, mine.filter(F.col(is_val)))
-                table = threshold_table(scored, label, "predicted_probability", thresholds)
+                held = mine.filter(F.col(is_val))
+                lengths = sorted({s["maxIter"] for s in group}) if family == "gbt" and len(group) > 1 else []
+                if lengths:
+                    scored = boosting_scores(model, held, lengths)
+                    cells = F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"p{n}").alias("p")) for n in lengths])
+                    scored = scored.select(label, F.explode(cells).alias("x")).select(
+                        label, F.col("x.n").alias("length"), F.col("x.p").alias("predicted_probability")
+                    )
+                else:
+                    scored = score_rows(model, held).withColumn("length", F.lit(0))
+                table = threshold_table(scored, label, "predicted_probability", thresholds, ["length"]).collect()
                 found = [
                     (model_id, family, text, int(number), r["threshold"])
                     + tuple(int(r[c]) for c in _COUNTS)
                     + tuple(float(r[s]) for s in SCORES)
-                    for r in table.collect()
+                    for model_id, (setting, text) in zip(ids, named)
+                    for r in table
+                    if not lengths or r["length"] == setting["maxIter"]
                 ]
-                return model_id, model, found, None
+                own = {i: boosting_prefix(model, s["maxIter"]) if lengths else model for i, (s, _) in zip(ids, named)}
+                return own, found, []
             except Exception as error:  # noqa: BLE001 - reported, not swallowed
-                return model_id, None, [], (model_id, text, int(number), str(error))
+                return {}, [], [(i, text, int(number), str(error)) for i, (_, text) in zip(ids, named)]
 
-        tasks = list(product(grid, numbers))
+        tasks = list(product(shared_fits(family, grid), numbers))
         with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
             done = pool.map(inheritable_thread_target(spark)(run), tasks)
     finally:
         rows.unpersist()
 
-    metrics = spark.createDataFrame([r for d in done for r in d[2]], SEARCH_SCHEMA)
-    failures = spark.createDataFrame([d[3] for d in done if d[3]], FAILURE_SCHEMA)
-    return SearchResult(
-        metrics, {d[0]: d[1] for d in done if d[1] is not None}, failures, len(numbers)
-    )
+    metrics = spark.createDataFrame([r for d in done for r in d[1]], SEARCH_SCHEMA)
+    failures = spark.createDataFrame([r for d in done for r in d[2]], FAILURE_SCHEMA)
+    models = {i: m for d in done for i, m in d[0].items()}
+    return SearchResult(metrics, models, failures, len(numbers))
 
 
 def kfold_search(

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from delaykit.config import FEATURE_SETS, FeatureSet
 from delaykit.ml import reports
-from delaykit.ml.estimators import make_estimator, naive_predictions, score_rows
+from delaykit.ml.estimators import boosting_prefix, boosting_scores, make_estimator, naive_predictions, score_rows
 from delaykit.ml.preparation import build_pipeline, cardinality, feature_names
-from delaykit.ml.search import FAILURE_SCHEMA, SearchResult, blocking_search, expand_grid, kfold_search
+from delaykit.ml.search import FAILURE_SCHEMA, SearchResult, blocking_search, expand_grid, kfold_search, shared_fits
 from delaykit.ml.selection import best_model, best_row, holdout_metrics, mean_metrics, top_settings
 from delaykit.operators.metrics import confusion_metrics, dropped_rows
 from delaykit.plans.training import prepare, train_and_choose
@@ -196,3 +196,51 @@ def test_reports(spark, prepared, tmp_path):
 def test_kfold(prepared):
     _, table = kfold_search(prepared.train, "lr", {"regParam": [0.0, 10.0], "maxIter": [3]}, "y", folds=2)
     assert table.count() == 2 and table.filter("avg_auc > 0.5").count() >= 1
+
+
+def boosting_rows(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        x = [rng.random() for _ in range(4)]
+        rows.append((int(x[0] + x[1] * x[2] + 0.3 * rng.random() > 0.9), Vectors.dense(x), i % 2, i % 5 == 0))
+    return spark.createDataFrame(rows, ["y", "features", "fold", "is_val"])
+
+
+def test_boosting_prefix_is_a_fit_of_its_own(spark, tmp_path):
+    df = boosting_rows(spark)
+    settings = {"maxDepth": 4, "maxBins": 16, "stepSize": 0.5}
+    long = make_estimator("gbt", settings | {"maxIter": 8}, "y").fit(df)
+    own = make_estimator("gbt", settings | {"maxIter": 3}, "y").fit(df)
+    short = boosting_prefix(long, 3)
+    rules = lambda m: [t.toDebugString.split("\n", 1)[1] for t in m.trees]  # noqa: E731  the first line names the tree
+    assert rules(short) == rules(own)
+    assert short.featureImportances == own.featureImportances and boosting_prefix(long, 8) is long
+    score = lambda d, c="predicted_probability": [round(r[c], 12) for r in d.select(c).collect()]
+    want = score(score_rows(own, df))
+    assert score(score_rows(short, df)) == want
+    assert score(boosting_scores(long, df, [3, 8]), "p3") == want
+    assert score(boosting_scores(long, df, [3, 8]), "p8") == score(score_rows(long, df))
+    reports.save_model(short, str(tmp_path / "m"))
+    assert score(score_rows(type(short).load(str(tmp_path / "m")), df)) == want
+
+
+def test_shared_fits_give_the_metrics_of_single_ones(spark):
+    df = boosting_rows(spark)
+    for family, grid, fits in (
+        ("gbt", expand_grid({"maxIter": [2, 4], "maxDepth": [3, 2], "stepSize": [0.5, 0.1]}), 4),
+        ("lr", expand_grid({"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0], "maxIter": [5]}), 3),
+    ):
+        assert len(shared_fits(family, grid)) == fits
+        together = blocking_search(df, family, grid, "y", (0.4, 0.6))
+        alone = [blocking_search(df, family, [g], "y", (0.4, 0.6)) for g in grid]
+        rows = lambda found: sorted(tuple(r) for r in found.metrics.collect())
+        assert rows(together) == sorted(r for a in alone for r in rows(a))
+        assert set(together.models) == {i for a in alone for i in a.models} and together.failures.isEmpty()
+
+
+def test_a_failed_fit_is_reported_for_every_setting_it_serves(spark):
+    found = blocking_search(boosting_rows(spark), "gbt", expand_grid({"maxIter": [2, 4], "maxBins": [1]}), "y")
+    assert found.metrics.isEmpty() and found.failures.count() == 4
