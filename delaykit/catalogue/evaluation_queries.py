@@ -101,6 +101,47 @@ def roc_pr_curve(spark, sf):
     return _rounded(curve).withColumns({"fpr": r9("fpr"), "tpr": r9("tpr")})
 
 
+_COMPACT_SQL = f"""{_CURVE_SQL},
+turns AS (SELECT *, tp - lag(tp, 1, 0) OVER w AS dp, fp - lag(fp, 1, 0) OVER w AS dn,
+                 lead(tp) OVER w - tp AS ep, lead(fp) OVER w - fp AS en
+          FROM pr WINDOW w AS (ORDER BY threshold DESC)),
+compact AS (SELECT * FROM turns WHERE ep IS NULL OR dp * en <> dn * ep)"""
+
+
+@query(
+    "roc_pr_curve_compact",
+    f"""{_COMPACT_SQL}
+SELECT threshold, tp, tn, fp, fn, round(fp / (fp + tn), 9) AS fpr, {_SCORE_SQL}, round(recall, 9) AS tpr
+FROM compact""",
+)
+def roc_pr_curve_compact(spark, sf):
+    """The curve to draw: points on a straight line between others are left out."""
+    curve = metrics.compact_curve(s.scored(spark, sf), "label", "score")
+    return _rounded(curve).withColumns({"fpr": r9("fpr"), "tpr": r9("tpr")})
+
+
+@query(
+    "curve_every_tenth",
+    f"""{_CURVE_SQL}
+SELECT threshold, tp, fp FROM (SELECT *, row_number() OVER (ORDER BY threshold) AS n FROM pr) WHERE n % 10 = 1""",
+)
+def curve_every_tenth(spark, sf):
+    curve = metrics.score_curve(s.scored(spark, sf), "label", "score")
+    return metrics.thinned_curve(curve, 10).select("threshold", "tp", "fp")
+
+
+@query(
+    "area_of_compact_curve",
+    f"""WITH {s.SCORED_SQL},
+r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS rk FROM scored),
+n AS (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS q, sum(rk) FILTER (WHERE label = 1) AS r FROM r)
+SELECT round((r - p * (p + 1) / 2) / (p * q), 9) AS area FROM n""",
+)
+def area_of_compact_curve(spark, sf):
+    """The area below the compact curve is the one that the ranks give."""
+    return metrics.curve_area(metrics.compact_curve(s.scored(spark, sf), "label", "score")).select(r9("area").alias("area"))
+
+
 @query(
     "f05_by_threshold",
     f"""{_CURVE_SQL},

@@ -10,7 +10,7 @@ from delaykit.catalogue import standins as s
 from delaykit.catalogue.registry import query, r9, tables
 from delaykit.operators.metrics import threshold_table
 from delaykit.session import checkpoint_dir
-from delaykit.sources import readers, sinks
+from delaykit.sources import readers, sinks, versions
 
 
 def _folder(spark) -> str:
@@ -25,7 +25,7 @@ WHERE year(o_orderdate) <> 2001 GROUP BY ALL""",
 )
 def checkpoint_roundtrip(spark, sf):
     path = _folder(spark)
-    sinks.write_stage(s.plain_orders(spark, sf), path, "YEAR")
+    versions.overwrite(s.plain_orders(spark, sf), path, "YEAR")
     stage, periods = sinks.reload_stage(spark, path, "YEAR", holdout=s.HOLDOUT)
     return (
         stage.join(periods, "YEAR", "left_semi")
@@ -103,7 +103,26 @@ def metrics_log(spark, sf):
     sinks.log_metrics(runs.filter(F.col("threshold") == 0.5), path)
     sinks.log_metrics(runs.filter(F.col("threshold") == 0.7), path)
     backup = sinks.reset_metrics(spark, path, backups)
-    shown = lambda name, where: readers.read_parquet(spark, where).select(
+    shown = lambda name, where: versions.read(spark, where).select(
         F.lit(name).alias("log"), "threshold", r9("precision").alias("precision")
     )
     return shown("backup", backup).unionByName(shown("log", path))
+
+
+@query(
+    "stage_versions",
+    """WITH o AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, o_totalprice FROM orders),
+v AS (SELECT 1 AS version, * FROM o WHERE y < 1998 UNION ALL SELECT 2, * FROM o WHERE y < 2000 UNION ALL SELECT 3, * FROM o WHERE y >= 2000)
+SELECT version, y AS "YEAR", count(*) AS n_rows FROM v GROUP BY ALL""",
+)
+def stage_versions(spark, sf):
+    """A stage that is written, added to and replaced; each of its versions stays readable."""
+    path = _folder(spark)
+    rows = s.plain_orders(spark, sf)
+    early, later, last = "YEAR < 1998", "YEAR >= 1998 AND YEAR < 2000", "YEAR >= 2000"
+    numbers = [
+        versions.overwrite(rows.filter(early), path, "YEAR"), versions.append(rows.filter(later), path, "YEAR"),
+        versions.overwrite(rows.filter(last), path, "YEAR"),
+    ]
+    parts = [versions.read(spark, path, n).select(F.lit(n).alias("version"), F.col("YEAR").cast("int").alias("YEAR")) for n in numbers]
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("version", "YEAR").agg(F.count(F.lit(1)).alias("n_rows"))

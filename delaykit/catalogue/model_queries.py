@@ -31,7 +31,7 @@ from delaykit.operators.metrics import confusion_metrics, dropped_rows
 from delaykit.plans.analysis import ensemble_report, error_report
 from delaykit.plans.training import prepare, train_and_choose
 from delaykit.session import checkpoint_dir
-from delaykit.sources.sinks import write_stage
+from delaykit.sources import versions
 
 _WEATHER = ("HourlyDryBulbTemperature", "HourlyPrecipitation", "HourlyVisibility", "HourlyWindSpeed")
 _CALENDAR = ("QUARTER", "MONTH", "DAY_OF_WEEK", "OP_UNIQUE_CARRIER")
@@ -307,8 +307,8 @@ def prediction_sink(spark, sf):
     model, threshold, _ = best_model(found)
     path = f"{checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
     columns = ["flight_id", LABEL, "prediction", "predicted_probability", "probability"]
-    write_stage(predict_holdout(model, threshold, prepared.holdout).select(*columns), path)
-    return spark.read.parquet(path).select("flight_id", LABEL, "prediction", "predicted_probability")
+    versions.overwrite(predict_holdout(model, threshold, prepared.holdout).select(*columns), path)
+    return versions.read(spark, path).select("flight_id", LABEL, "prediction", "predicted_probability")
 
 
 @query("feature_importance")

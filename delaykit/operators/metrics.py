@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.functions.scalars import Col, as_col, f_beta, ratio
+from delaykit.operators.lookup import null_safe_join
 from delaykit.operators.ranks import running_totals
 
 SCORES = ["precision", "recall", "f05", "f1", "accuracy"]
@@ -86,22 +87,19 @@ def best_threshold(table: DataFrame, by: str = "f05") -> DataFrame:
     return table.orderBy(F.desc(by), F.asc("threshold")).limit(1)
 
 
-def score_curve(
-    df: DataFrame, label: str, score: str, keys: Sequence[str] = ()
-) -> DataFrame:
-    """ROC and precision-recall points: one row per distinct score (prediction = score >= it).
-
-    Rows with equal scores are counted before anything is ordered, and the prefix sums run
-    in parallel, so neither the scores nor the curve pass through one place.
-    """
-    keys = list(keys)
+def _score_totals(df: DataFrame, label: str, score: str, keys: Sequence[str], neighbours: bool = False) -> DataFrame:
+    """Running totals of both labels over the distinct scores."""
     y = F.col(label)
-    totals = running_totals(
-        df.filter(F.col(score).isNotNull() & y.isNotNull()).select(*keys, label, score),
+    return running_totals(
+        df.filter(F.col(score).isNotNull() & y.isin(0, 1)).select(*keys, label, score),
         score,
         {"pos": (y == 1).cast("long"), "neg": (y == 0).cast("long")},
         keys=keys,
+        neighbours=neighbours,
     )
+
+
+def _curve_points(totals: DataFrame, score: str, keys: Sequence[str]) -> DataFrame:
     counts = totals.select(
         *keys,
         F.col(score).alias("threshold"),
@@ -117,6 +115,55 @@ def score_curve(
     )
 
 
+def score_curve(
+    df: DataFrame, label: str, score: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """ROC and precision-recall points: one row per distinct score (prediction = score >= it).
+
+    Rows with equal scores are counted before anything is ordered, and the prefix sums run
+    in parallel, so neither the scores nor the curve pass through one place.
+    """
+    return _curve_points(_score_totals(df, label, score, list(keys)), score, list(keys))
+
+
+def compact_curve(
+    df: DataFrame, label: str, score: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`score_curve` without the points that lie on the straight line between their
+    neighbours on the ROC curve; the area below it does not change.
+
+    A point stays if the step that leads to it (the rows at its score) and the step behind it (the
+    rows at the next smaller score) have different slopes, compared as products of counts. The
+    last point, (1, 1), stays.
+    """
+    totals = _score_totals(df, label, score, list(keys), neighbours=True)
+    turns = F.col("pos") * F.col("neg_below") != F.col("neg") * F.col("pos_below")
+    return _curve_points(totals.filter(F.coalesce(turns, F.lit(True))), score, list(keys))
+
+
+def thinned_curve(curve: DataFrame, step: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Every ``step``-th point of a curve, from the smallest threshold on. Places are prefix sums
+    over buckets, so no window holds the curve."""
+    places = running_totals(
+        curve.select(*keys, "threshold"), "threshold", {"__n": F.lit(1)}, keys=list(keys)
+    )
+    wanted = places.filter(F.col("__n_before") % step == 0).select(*keys, "threshold")
+    return null_safe_join(curve, wanted, [*keys, "threshold"]) if keys else curve.join(wanted, "threshold")
+
+
+def curve_area(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, area): area below the ROC points of a curve and (0, 0), by trapezoids."""
+    steps = running_totals(
+        curve.select(*keys, "threshold", "tp", "fp"), "threshold", {"tp": F.col("tp"), "fp": F.col("fp")}, keys=list(keys), neighbours=True
+    )
+    # tp and fp fall as the threshold grows: the point below a threshold lies further on the curve
+    own = (F.col("tp_below") + F.col("tp")) * (F.col("fp_below") - F.col("fp"))
+    ends = [F.max("tp").alias("__pos"), F.max("fp").alias("__neg"), F.min(F.struct("fp", "tp")).alias("__first")]
+    grouped = (steps.groupBy(*keys) if keys else steps).agg(F.coalesce(F.sum(own), F.lit(0)).alias("__twice"), *ends)
+    twice = F.col("__twice") + F.col("__first.tp") * F.col("__first.fp")
+    return grouped.select(*keys, ratio(twice, 2 * F.col("__pos") * F.col("__neg")).alias("area"))
+
+
 def area_under_roc(
     df: DataFrame, label: str, score: str, keys: Sequence[str] = ()
 ) -> DataFrame:

@@ -91,11 +91,14 @@ def running_totals(
     keys: Sequence[str] = (),
     buckets: int | None = None,
     known: Profile | None = None,
+    neighbours: bool = False,
 ) -> DataFrame:
     """One row per (keys, value) with, for each measure m, ``m`` (total at this value),
     ``m_before`` (total over smaller values) and ``m_all`` (total over the key).
 
-    Null values sort first, as in a Spark window. Measures must be non-null sums.
+    Null values sort first, as in a Spark window. Measures must be non-null sums. ``neighbours``
+    adds ``m_below``, the total at the next smaller value of the key, null at the smallest; across
+    the border of two buckets it comes from the last value of the bucket before.
     """
     keys = list(keys)
     known = known or profile(df, value, keys, buckets)
@@ -111,14 +114,16 @@ def running_totals(
         Window.unboundedPreceding, -1
     )
     whole = Window.partitionBy(*part)
+    last = [F.max_by(m, value).alias(f"__{m}_last") for m in names] if neighbours else []
     offsets = (
         bucketed.groupBy(*part, "__bucket")
-        .agg(*[F.sum(m).alias(f"__{m}") for m in names])
+        .agg(*[F.sum(m).alias(f"__{m}") for m in names], *last)
         .select(
             *part,
             "__bucket",
             *[F.coalesce(F.sum(f"__{m}").over(before), F.lit(0)).alias(f"__{m}_off") for m in names],
             *[F.sum(f"__{m}").over(whole).alias(f"{m}_all") for m in names],
+            *[F.lag(f"__{m}_last").over(whole.orderBy("__bucket")).alias(f"__{m}_border") for m in names if neighbours],
         )
     )
     inside = Window.partitionBy(*part, "__bucket").orderBy(value).rowsBetween(
@@ -131,6 +136,7 @@ def running_totals(
         "__bucket",
         *names,
         *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"__{m}_in") for m in names],
+        *[F.lag(m).over(Window.partitionBy(*part, "__bucket").orderBy(value)).alias(f"__{m}_next") for m in names if neighbours],
     )
     joined = local.join(offsets, [*part, "__bucket"])
     return joined.select(
@@ -139,6 +145,7 @@ def running_totals(
         *names,
         *[(F.col(f"__{m}_in") + F.col(f"__{m}_off")).alias(f"{m}_before") for m in names],
         *[f"{m}_all" for m in names],
+        *[F.coalesce(f"__{m}_next", f"__{m}_border").alias(f"{m}_below") for m in names if neighbours],
     )
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from delaykit.sources.sinks import write_stage
+
 # size label of a data slice -> suffix of its folder (fixed values)
 SLICES = {"3 months": "_3m", "6 months": "_6m", "1 year": "_1y", "all": ""}
 
@@ -27,8 +29,7 @@ def csv_to_parquet(
     spark: SparkSession, source: str, target: str, schema: T.StructType, *partition_by: str
 ) -> None:
     """Ingest: read text once, keep it columnar from then on."""
-    writer = read_csv(spark, source, schema).write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
+    write_stage(read_csv(spark, source, schema), target, *partition_by)
 
 
 def read_tabbed(spark: SparkSession, path: str, names: list[str]) -> DataFrame:

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaykit.session import checkpoint_dir
+from delaykit.sources import versions
 from delaykit.sources.schemas import METRICS_LOG
 
+_STAGED: dict[str, list[str]] = {}
+
 
 def write_stage(df: DataFrame, path: str, *partition_by: str) -> None:
     """Overwrite a stage; partition columns let later reads prune. Rows of a partition value are
@@ -26,31 +29,41 @@ def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once to a fresh place in the shared folder and read it back. The schema is
     given, so column metadata (feature names) survive and reading needs no look at the files."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     write_stage(df, path, *partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def release_stages(spark: SparkSession) -> int:
+    """Remove what :func:`staged` wrote in this session, once nothing reads it any more."""
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        store = versions.Store(spark, path)
+        store.fs.delete(store.at(), True)
+    return len(paths)
+
+
 def reload_stage(spark: SparkSession, path: str, period: str, holdout: int | None = None):
-    """Reread a stage with its distinct periods (a DataFrame), holdout left out."""
-    df = spark.read.parquet(path)
+    """Reread a stage, versioned or plain, with its distinct periods (a DataFrame), holdout left out."""
+    df = versions.read(spark, path) if versions.Store(spark, path).numbers() else spark.read.parquet(path)
     periods = df.select(period).distinct()
     return df, periods if holdout is None else periods.filter(F.col(period) != holdout)
 
 
 def log_metrics(metrics: DataFrame, path: str) -> None:
-    """Append a run to the metrics log."""
-    metrics.write.mode("append").parquet(path)
+    """Append a run to the metrics log, a versioned stage."""
+    versions.append(metrics, path)
 
 
 def reset_metrics(spark: SparkSession, path: str, backup_root: str, stamp: str | None = None) -> str:
-    """Copy the log to a stamped folder, then start it anew with one row of zeros."""
+    """Copy the log to a stamped stage, then start it anew with one row of zeros. A run that is logged
+    meanwhile is in the copy or in the new log."""
     stamp = stamp or datetime.now(UTC).strftime("%Y-%m-%d-%H-%M-%S-%f")
     backup = f"{backup_root.rstrip('/')}/metrics-{stamp}"
-    spark.read.parquet(path).write.parquet(backup)
     zero = spark.createDataFrame(
         [(datetime.now(UTC), 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0, 0.0)], METRICS_LOG
     )
-    zero.write.mode("overwrite").parquet(path)
+    versions.start_anew(spark, path, zero, backup)
     return backup
 
 

@@ -1,7 +1,10 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from delaykit.session import checkpoint_dir, cut_lineage
-from delaykit.sources import readers, schemas, sinks
+from delaykit.sources import readers, schemas, sinks, versions
 
 
 def test_stage_and_reload(spark, rows, tmp_path):
@@ -45,13 +48,68 @@ def test_metrics_log_backup_and_reset(spark, tmp_path):
     path = str(tmp_path / "log")
     sinks.log_metrics(run, path)
     sinks.log_metrics(run, path)
-    assert spark.read.parquet(path).count() == 2
+    assert versions.read(spark, path).count() == 2
     backup = sinks.reset_metrics(spark, path, str(tmp_path / "backups"), stamp="x")
-    assert spark.read.parquet(backup).count() == 2
-    left = spark.read.parquet(path).collect()
+    assert versions.read(spark, backup).count() == 2
+    left = versions.read(spark, path).collect()
     assert len(left) == 1 and left[0]["precision"] == 0.0 and left[0]["maxIter"] == 0
 
 
+def test_an_append_during_the_reset_is_not_lost(spark, tmp_path, monkeypatch):
+    path, backup, calls = str(tmp_path / "log"), str(tmp_path / "backup"), []
+    versions.append(spark.range(3), path)
+    publish = versions.Store.publish
+
+    def late(store, number, folders, columns=None):
+        # somebody appends after the copy was made and before the new log is published
+        if store.root.endswith("/log") and not calls:
+            calls.append(number)
+            versions.append(spark.range(10, 12), path)
+        return publish(store, number, folders, columns)
+
+    monkeypatch.setattr(versions.Store, "publish", late)
+    versions.start_anew(spark, path, spark.range(99, 100), backup)
+    assert sorted(r[0] for r in versions.read(spark, backup).collect()) == [0, 1, 2, 10, 11]
+    assert [r[0] for r in versions.read(spark, path).collect()] == [99]
+
+
+def test_a_failed_overwrite_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    df = spark.createDataFrame([(1, 2019), (2, 2020)], "id int, YEAR int")
+    assert versions.overwrite(df, path, "YEAR") == 1
+    broken = df.select(F.when(F.col("id") == 2, F.raise_error("lost")).otherwise(F.col("id")).alias("id"), "YEAR")
+    with pytest.raises(Exception, match="lost"):
+        versions.overwrite(broken, path, "YEAR")
+    again, periods = sinks.reload_stage(spark, path, "YEAR")
+    assert sorted(map(tuple, again.select("id", "YEAR").collect())) == [(1, 2019), (2, 2020)] and periods.count() == 2
+    assert versions.append(df, path, "YEAR") == 2 and versions.read(spark, path).count() == 4
+    assert versions.overwrite(df.limit(1), path, "YEAR") == 3
+    assert versions.read(spark, path).count() == 1 and versions.read(spark, path, 2).count() == 4
+    pruned = versions.read(spark, path).filter("YEAR = 2019")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(YEAR" in pruned
+
+
+def test_two_writers_do_not_take_the_same_number(spark, tmp_path):
+    store = versions.Store(spark, str(tmp_path / "stage"))
+    assert store.publish(1, ["a"]) and not store.publish(1, ["b"])
+    assert store.latest() == (1, ["a"]) and store.commit(lambda old: [*old, "c"]) == 2
+    assert store.latest() == (2, ["a", "c"]) and len(store.listed("_versions")) == 2
+
+
+def test_clear_and_release(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    for n in (1, 2, 3):
+        versions.overwrite(spark.range(n), path)
+    assert versions.clear(spark, path) == []  # all of them are young
+    assert len(versions.clear(spark, path, older_than=-60)) == 2
+    assert versions.read(spark, path).count() == 3 and versions.Store(spark, path).numbers() == [3]
+    sinks.release_stages(spark)
+    kept = sinks.staged(spark.range(4), "kept")
+    assert kept.count() == 4 and sinks.release_stages(spark) == 1 and sinks.release_stages(spark) == 0
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, str(tmp_path / "none"))
+
+
 def test_checkpoints_are_reliable_ones(spark):
     df = cut_lineage(spark.range(5))
     assert df.count() == 5

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from delaykit.operators import correlation as C
 from delaykit.operators import metrics as M
+from delaykit.operators.ranks import running_totals
 
 
 @pytest.fixture(scope="module")
@@ -144,3 +145,35 @@ def test_periods_overlap(spark):
 def test_yearly_trend(spark, rows):
     df = spark.createDataFrame([(2019, 1.0, "a"), (2019, 0.0, "b"), (2020, 0.0, "c")], "YEAR int, y double, id string")
     assert rows(C.yearly_trend(df, "YEAR", "y", "id")) == [(2019, 2, 1.0, 50.0), (2020, 1, 0.0, 0.0)]
+
+
+def test_compact_curve_keeps_the_turns(spark):
+    rng = random.Random(9)
+    data = [(k, rng.randint(0, 1), round(rng.random(), rng.choice([1, 9]))) for k in (None, "a", "b") for _ in range(300)]
+    data += [("a", 1, None), ("b", None, 0.5), ("c", 1, 0.5), ("c", 0, 0.25)]
+    df = spark.createDataFrame(data, "k string, y int, s double")
+    full, short = M.score_curve(df, "y", "s", ["k"]).collect(), M.compact_curve(df, "y", "s", ["k"]).collect()
+    for key in (None, "a", "b", "c"):
+        points = sorted({(r["fp"], r["tp"]) for r in full if r["k"] == key})
+        want, before = [], (0, 0)
+        for i, (x, y) in enumerate(points):
+            after = points[i + 1] if i + 1 < len(points) else None
+            if after is None or (x - before[0]) * (after[1] - y) != (y - before[1]) * (after[0] - x):
+                want.append((x, y))
+            before = (x, y)
+        assert sorted((r["fp"], r["tp"]) for r in short if r["k"] == key) == want
+    areas = lambda d: {r["k"]: round(r["area"], 12) for r in d.collect()}
+    assert areas(M.curve_area(M.score_curve(df, "y", "s", ["k"]), ["k"])) == areas(M.curve_area(M.compact_curve(df, "y", "s", ["k"]), ["k"]))
+    assert len(short) < 0.7 * len(full)
+
+
+def test_neighbours_cross_bucket_borders(spark):
+    df = spark.createDataFrame([(i, i % 7 + 1) for i in range(200)], "v int, n int")
+    got = running_totals(df, "v", {"m": F.col("n")}, buckets=16, neighbours=True).orderBy("v").collect()
+    assert [r["m_below"] for r in got] == [None] + [i % 7 + 1 for i in range(199)]
+
+
+def test_thinned_curve(spark):
+    df = spark.createDataFrame([(i % 2, i / 100) for i in range(95)], "y int, s double")
+    got = M.thinned_curve(M.score_curve(df, "y", "s"), 10).orderBy("threshold").collect()
+    assert [r["threshold"] for r in got] == [i / 100 for i in range(0, 95, 10)]
