@@ -276,7 +276,7 @@ FROM pr{ROUNDS} GROUP BY p""",
 )
 def pagerank_residual(spark, sf):
     """Vertices whose last change is still above the tolerance: none on either side."""
-    ranks = airport_pagerank(s.routes(spark, sf), ("YEAR",), with_change=True)
+    ranks = airport_pagerank(s.routes(spark, sf), ("YEAR",), with_change=True, link_bytes=-1)
     return ranks.groupBy("YEAR").agg(
         F.count(F.lit(1)).alias("n_vertices"), F.count_if(F.col("change") > 0.01).alias("n_moving")
     )
@@ -304,7 +304,7 @@ def pagerank_hub(spark, sf):
             F.concat(F.lit("n"), ((F.col("n_nationkey") + 1) % 3).cast("string")).alias("ORIGIN"),
         )
     )
-    return airport_pagerank(edges, ()).select("id", F.round("pagerank", 6).alias("pagerank"))
+    return airport_pagerank(edges, (), link_bytes=-1).select("id", F.round("pagerank", 6).alias("pagerank"))
 
 
 @query(

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from delaykit.operators import pagerank as pagerank_module
 from delaykit.operators import sampling as S
 from delaykit.operators.pagerank import pagerank, period_edges
 
@@ -108,12 +109,33 @@ def test_pagerank_equals_brute_force_per_period(spark, tol):
         assert abs(sum(mine.values()) - len(mine)) < 1e-9
 
 
-def test_checkpoints_do_not_change_ranks(spark):
-    df = spark.createDataFrame(_edges(3), "DEST string, ORIGIN string")
-    edges = period_edges(df, [], "DEST", "ORIGIN")
-    a = {r["id"]: r["pagerank"] for r in pagerank(edges, checkpoint_every=2).collect()}
-    b = {r["id"]: r["pagerank"] for r in pagerank(edges, checkpoint_every=50).collect()}
-    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+def test_parts_of_hubs_do_not_change_ranks(spark, monkeypatch):
+    rng = random.Random(4)
+    pairs = [(f"a{rng.randint(0, 3)}", f"b{rng.randint(0, 30)}") for _ in range(200)] + [(f"b{i}", f"a{i % 4}") for i in range(31)]
+    edges = period_edges(spark.createDataFrame(pairs, "s string, t string"), [], "s", "t")
+    whole = {r["id"]: r["pagerank"] for r in pagerank(edges).collect()}
+    monkeypatch.setattr(pagerank_module, "HUB_LINKS", 5)
+    split = {r["id"]: r["pagerank"] for r in pagerank(edges, link_bytes=-1).collect()}
+    assert whole.keys() == split.keys() and all(abs(whole[k] - split[k]) < 1e-9 for k in whole)
+    parts = pagerank_module.linked(edges, [], False).groupBy("src").agg(F.max("part").alias("last"), F.max("parts").alias("parts"))
+    assert all(r["last"] < r["parts"] for r in parts.collect()) and parts.filter("parts > 1").count() == 4
+
+
+def test_rounds_carry_the_frontier_only(spark, monkeypatch):
+    """A long tail: nearly all vertices stop after a few rounds, and few changes are written from then on."""
+    pairs = [("x", "y")] * 3 + [("y", "x")] * 3 + [(f"l{i}", "x") for i in range(200)]
+    edges = period_edges(spark.createDataFrame(pairs, "s string, t string"), [], "s", "t")
+    written, stage = [], pagerank_module.staged
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name == "arrivals":
+            written.extend(r["count"] for r in out.groupBy("round").count().orderBy("round").collect())
+        return out
+
+    monkeypatch.setattr(pagerank_module, "staged", counted)
+    pagerank(edges, link_bytes=-1).collect()
+    assert len(written) > 10 and max(written[1:]) <= 2
 
 
 def test_source_vertices_only(spark, rows):
