@@ -233,6 +233,21 @@ def describe_stats(spark, sf):
     return table.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
 
 
+_TEXTS = ("l_returnflag", "l_linestatus", "l_orderkey")
+
+
+@query(
+    "describe_text",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, count({c}) AS n, count(DISTINCT {c}) AS n_distinct,
+       min(CAST({c} AS VARCHAR)) AS min, max(CAST({c} AS VARCHAR)) AS max FROM lineitem"""
+        for c in _TEXTS
+    ),
+)
+def describe_text(spark, sf):
+    return audits.describe_text(tables(spark, sf, "lineitem")[0], _TEXTS)
+
+
 @query(
     "group_count_sorted",
     """SELECT o_orderpriority, o_orderstatus, count(*) AS n_rows

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from delaykit.catalogue import standins as s
 from delaykit.catalogue.registry import query, r9, tables
+from delaykit.config import FeatureSet
+from delaykit.ml.preparation import build_pipeline
 from delaykit.operators import correlation
+from delaykit.operators.labels import index_labels, label_dictionary
 
 _COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "late"]
 _LINES = """
@@ -163,11 +165,21 @@ SELECT o_orderkey, idx AS carrier_idx FROM orders JOIN i ON v = o_orderpriority"
 )
 def string_index(spark, sf):
     (orders,) = tables(spark, sf, "orders")
-    rows = orders.select("o_orderkey", "o_orderpriority")
-    indexer = StringIndexer(
-        inputCols=["o_orderpriority"], outputCols=["carrier_idx"], handleInvalid="skip"
-    )
-    return indexer.fit(rows).transform(rows).select("o_orderkey", "carrier_idx")
+    known = label_dictionary(orders, "o_orderpriority")
+    return index_labels(orders, "o_orderpriority", known, "carrier_idx").select("o_orderkey", "carrier_idx")
+
+
+@query(
+    "string_index_many",
+    """WITH f AS (SELECT CAST(l_orderkey AS VARCHAR) AS v, count(*) AS n FROM lineitem WHERE l_linenumber > 1 GROUP BY ALL),
+i AS (SELECT v, (row_number() OVER (ORDER BY n DESC, v) - 1)::DOUBLE AS idx FROM f)
+SELECT l_orderkey, l_linenumber, idx FROM lineitem JOIN i ON v = CAST(l_orderkey AS VARCHAR)""",
+)
+def string_index_many(spark, sf):
+    """Nearly as many labels as rows; labels that the fitted rows never had are skipped."""
+    (lineitem,) = tables(spark, sf, "lineitem")
+    known = label_dictionary(lineitem.filter("l_linenumber > 1"), "l_orderkey")
+    return index_labels(lineitem, "l_orderkey", known, "idx").select("l_orderkey", "l_linenumber", "idx")
 
 
 @query(
@@ -176,11 +188,8 @@ def string_index(spark, sf):
        / (SELECT stddev_samp(o_totalprice) FROM orders), 6) AS scaled FROM orders""",
 )
 def standard_scale(spark, sf):
-    (orders,) = tables(spark, sf, "orders")
-    rows = VectorAssembler(inputCols=["o_totalprice"], outputCol="v").transform(
-        orders.select("o_orderkey", "o_totalprice")
-    )
-    scaler = StandardScaler(inputCol="v", outputCol="z", withMean=True, withStd=True).fit(rows)
-    return scaler.transform(rows).select(
-        "o_orderkey", F.round(vector_to_array("z")[0], 6).alias("scaled")
+    rows = tables(spark, sf, "orders")[0].select("o_orderkey", "o_totalprice")
+    fitted = build_pipeline(rows, FeatureSet("price", (), ("o_totalprice",)), scale=True)
+    return fitted.transform(rows).select(
+        "o_orderkey", F.round(vector_to_array("scaledFeatures")[0], 6).alias("scaled")
     )

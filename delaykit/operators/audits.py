@@ -195,3 +195,16 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max(x).alias(f"{c}__max"),
         ]
     return _long(df.agg(*measures), columns, ["n", "mean", "stddev", "min", "max"], "column_name")
+
+
+def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, distinct values, minimum and maximum per column, as text. Distinct values are counted by
+    grouping them, column by column in one pass, so no task holds the values of a column."""
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns]
+    )
+    each = df.select(F.explode(cells).alias("c")).groupBy("c.column_name", "c.v").agg(F.count(F.lit(1)).alias("k"))
+    return each.groupBy("column_name").agg(
+        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k"))), F.lit(0)).alias("n"),
+        F.count("v").alias("n_distinct"), F.min("v").alias("min"), F.max("v").alias("max"),
+    )

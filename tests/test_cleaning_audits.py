@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from delaykit.operators import audits, cleaning
+from delaykit.operators.labels import index_labels, label_dictionary
 
 
 def test_dedup_whole_rows_then_project(spark, rows):
@@ -84,3 +85,21 @@ def test_group_reports(spark, rows):
     assert [tuple(r) for r in audits.group_counts(df, "k").collect()] == [("a", 2), ("b", 1)]
     assert rows(audits.group_sums(df, "k", "v", at_least=12)) == [("b", 20.0)]
     assert rows(audits.describe_numeric(df, ["v"]))[0][:2] == ("v", 3)
+
+
+def test_describe_text(spark):
+    df = spark.createDataFrame([("b", None), ("a", None), ("a", None), (None, None), ("", None)], "x string, y string")
+    got = {r["column_name"]: tuple(r)[1:] for r in audits.describe_text(df, ["x", "y"]).collect()}
+    assert got == {"x": (4, 3, "", "b"), "y": (0, 0, None, None)}
+
+
+def test_label_dictionary(spark):
+    values = ["b"] * 3 + ["a"] * 3 + ["c"] * 5 + [None] * 9 + [f"x{i}" for i in range(50)]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    known = label_dictionary(df, "v")
+    got = [r["label"] for r in known.orderBy("index").collect()]
+    assert got == ["c", "a", "b"] + sorted(f"x{i}" for i in range(50))
+    assert sorted(r["index"] for r in known.collect()) == list(range(53))
+    new = spark.createDataFrame([("c",), ("?",), (None,), ("x7",)], "v string")
+    assert {r["v"]: r["i"] for r in index_labels(new, "v", known, "i").collect()} == {"c": 0.0, "x7": float(got.index("x7"))}
+    assert index_labels(new, "v", known, "i", keep_unseen=True).filter("i IS NULL").count() == 2
