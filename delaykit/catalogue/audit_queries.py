@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from delaykit.catalogue import standins as s
 from delaykit.catalogue.registry import query, r9, tables
-from delaykit.operators import audits
+from delaykit.operators import audits, keys
 from delaykit.operators.cleaning import (
     clamp_negative,
     drop_above,
@@ -342,3 +344,47 @@ def measure_means(spark, sf):
     return means.select(
         "YEAR", F.round("o_totalprice", 2).alias("o_totalprice"), r9("DEP_DEL15").alias("DEP_DEL15")
     )
+
+
+def _key_search_sql(table: str, columns: tuple[str, ...], size: int) -> str:
+    """All sets counted, then keys and dependencies that hold no smaller one."""
+    columns = tuple(sorted(columns))
+    name = lambda cs: "c_" + "_".join(str(columns.index(c)) for c in cs) if cs else "1"
+    sets = [cs for k in range(1, size + 1) for cs in combinations(columns, k)]
+    counts = ", ".join(f"count(DISTINCT ({', '.join(cs)})) AS {name(cs)}" for cs in sets)
+    below = lambda cs: [x for k in range(1, len(cs)) for x in combinations(cs, k)]
+    none = lambda tests: "".join(f" AND NOT ({t})" for t in tests)
+    rows = []
+    for cs in sets:
+        no_key = none(f"{name(x)} = n" for x in below(cs))
+        rows.append(f"SELECT 'key' AS kind, '{','.join(cs)}' AS columns, NULL AS determines FROM c WHERE {name(cs)} = n{no_key}")
+        for c in cs:
+            left = tuple(x for x in cs if x != c)
+            with_c = lambda x, c=c: tuple(sorted((*x, c)))
+            smaller = none(f"{name(x)} = {name(with_c(x))}" for x in ([()] if left else []) + below(left))
+            rows.append(
+                f"SELECT 'dependency', '{','.join(left)}', '{c}' FROM c WHERE {name(left)} = {name(cs)}{no_key}{smaller}"
+            )
+    return f"WITH c AS (SELECT count(*) AS n, {counts} FROM {table})\n" + "\nUNION ALL\n".join(rows)
+
+
+_KEY_COLUMNS = {
+    "lineitem": ("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"),
+    "orders": ("o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus"),
+    "customer": ("c_custkey", "c_nationkey", "c_mktsegment"),
+}
+
+
+@query("key_search_lineitem", _key_search_sql("lineitem", _KEY_COLUMNS["lineitem"], 3))
+def key_search_lineitem(spark, sf):
+    return keys.key_search(tables(spark, sf, "lineitem")[0], _KEY_COLUMNS["lineitem"], 3)
+
+
+@query("key_search_orders", _key_search_sql("orders", _KEY_COLUMNS["orders"], 3))
+def key_search_orders(spark, sf):
+    return keys.key_search(tables(spark, sf, "orders")[0], _KEY_COLUMNS["orders"], 3)
+
+
+@query("key_search_customer", _key_search_sql("customer", _KEY_COLUMNS["customer"], 3))
+def key_search_customer(spark, sf):
+    return keys.key_search(tables(spark, sf, "customer")[0], _KEY_COLUMNS["customer"], 3)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from delaykit.operators import audits, cleaning
+from delaykit.operators import audits, cleaning, keys
 from delaykit.operators.labels import index_labels, label_dictionary
 
 
@@ -103,3 +103,13 @@ def test_label_dictionary(spark):
     new = spark.createDataFrame([("c",), ("?",), (None,), ("x7",)], "v string")
     assert {r["v"]: r["i"] for r in index_labels(new, "v", known, "i").collect()} == {"c": 0.0, "x7": float(got.index("x7"))}
     assert index_labels(new, "v", known, "i", keep_unseen=True).filter("i IS NULL").count() == 2
+
+
+def test_key_search(spark):
+    rows = [(i, i % 4, i // 4, (i % 4) // 2, "c", None if i == 3 else 1) for i in range(16)]
+    df = spark.createDataFrame(rows, "id int, a int, b int, half int, same string, hole int")
+    got = {tuple(r) for r in keys.key_search(df, df.columns, 3).collect()}
+    assert {r[1] for r in got if r[0] == "key"} == {"id", "a,b"}
+    assert {r[1:] for r in got if r[0] == "dependency"} == {("", "same"), ("a", "half")} | {r[1:] for r in got if r[2] == "hole"}
+    assert ("dependency", "half", "a") not in got and ("dependency", "a", "hole") not in got
+    assert [tuple(r) for r in keys.key_search(df.limit(1), ["a"]).collect()] == [("key", "", None)]
