@@ -1,182 +1,135 @@
-"""Modified Kneser-Ney n-gram models over classes of bytes.
+"""Modified Kneser-Ney models of byte n-grams, counted and estimated by Spark.
 
-A byte is one of ``2 ** bits`` symbols; an n-gram is its symbols' bits in a row, which is its hash
-as well. So a model has at most ``2 ** (bits * order)`` n-grams however large the corpus, and that
-bounds what is counted, collected and broadcast. Tables are sorted hash arrays: n-grams in ascending
-order with their log-probabilities and back-off weights.
+An n-gram is its bytes in a row, read as one number: a key without collisions. The byte 0xFF, which
+UTF-8 never uses, is the pad before a text. What a model holds grows with the corpus, so its orders are
+tables that Spark counts, joins and keeps; a finished table whose measured size is small is turned
+into sorted arrays and broadcast, a larger one is joined.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import in_arrow
-
-@dataclass(frozen=True)
-class Alphabet:
-    """Symbols of bytes: ``table[byte]``; the last symbol of all is the pad before a text."""
-
-    bits: int
-    order: int
-    table: np.ndarray
-    pad: int
-
-    @property
-    def size(self) -> int:
-        return 1 << self.bits * self.order
-
-
-def alphabet(order: int = 4) -> Alphabet:
-    """Five bits: the letters without their case, blanks, digits, stops, other ASCII marks, bytes beyond
-    ASCII, and the pad."""
-    names: dict[str, int] = {}
-    table = np.zeros(256, np.uint32)
-    for b in range(256):
-        c = chr(b)
-        if b > 127:
-            name = "beyond"
-        elif c.isalpha():
-            name = c.lower()
-        elif b < 33 or b == 127:
-            name = "blank"
-        else:
-            name = "digit" if c.isdigit() else "stop" if c in ".," else "mark"
-        table[b] = names.setdefault(name, len(names))
-    return Alphabet(5, order, table, 31)
+from delaykit.llm.common import in_arrow, written
 
+ORDER = 5
+PAD = 0xFF
+HELD_GRAMS = 1 << 21
+#: Entries of a table that is broadcast at most; an entry takes 12 bytes.
+BROADCAST_ENTRIES = 8_000_000
 
-def grams(texts: pa.Array, a: Alphabet) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram hash at every byte, offsets of the texts); a text is preceded by ``order - 1`` pads."""
+
+def grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """(n-gram that ends at every byte, offsets of the texts); a text is preceded by ``order - 1`` pads."""
     texts = pc.fill_null(texts, "")
     lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
     offsets = np.concatenate([[0], np.cumsum(lengths)])
-    raw = np.frombuffer(b"".join(x.as_buffer() for x in texts.cast(pa.binary())), np.uint8)
-    symbols = a.table[raw]
+    symbols = np.frombuffer(b"".join(x.as_buffer() for x in texts.cast(pa.binary())), np.uint8).astype(np.int64)
     out = symbols.copy()
-    for back in range(1, a.order):
-        earlier = np.full(len(symbols), a.pad, np.uint32)
-        earlier[back:] = symbols[: len(symbols) - back] if back < len(symbols) else []
-        out |= earlier << np.uint32(a.bits * back)
-    # the first places of a text saw the text before it: their upper symbols become pads
-    for at in range(a.order - 1):
+    for back in range(1, order):
+        out[back:] |= symbols[: max(0, len(symbols) - back)] << 8 * back
+    # the first places of a text saw the text before it: their upper bytes become pads
+    for at in range(order - 1):
         first = (offsets[:-1] + at)[lengths > at]
-        known = np.uint32((1 << a.bits * (at + 1)) - 1)
-        pads = sum(a.pad << a.bits * i for i in range(at + 1, a.order))
-        out[first] = out[first] & known | np.uint32(pads)
+        pads = sum(PAD << 8 * i for i in range(at + 1, order))
+        out[first] = out[first] & ((1 << 8 * (at + 1)) - 1) | pads
     return out, offsets
 
 
-def count_grams(texts: DataFrame, a: Alphabet, groups: int = 1) -> DataFrame:
-    """(g, c0, c1, ...): how often each n-gram stands in texts of each group.
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order with the sums of their counts."""
+    all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
+    by = np.argsort(all_keys, kind="stable")
+    all_keys, all_counts = all_keys[by], all_counts[by]
+    heads = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]]))
+    return all_keys[heads], np.add.reduceat(all_counts, heads)
+
 
-    ``texts`` has the columns text and grp (0 to groups - 1). Every task adds its texts up first.
-    """
-    names = [f"c{i}" for i in range(groups)]
+def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(g, c): how often each n-gram stands in ``texts`` (text). A task adds up what it has seen and
+    passes it on whenever that is more than ``HELD_GRAMS`` n-grams, so its memory is bounded."""
 
     def run(batches):
-        total: list[np.ndarray | None] = [None] * groups
+        keys, counts = [], []
         for batch in batches:
-            of = batch.column(1).to_numpy(zero_copy_only=False)
-            for i in range(groups):
-                own = batch.column(0) if groups == 1 else batch.column(0).filter(pa.array(of == i))
-                if not len(own):
-                    continue
-                g, _ = grams(own, a)
-                found = np.bincount(g, minlength=0)
-                if total[i] is None:
-                    total[i] = np.zeros(a.size, np.int64)
-                total[i][: len(found)] += found
-        if all(t is None for t in total):
-            return
-        filled = [np.zeros(a.size, np.int64) if t is None else t for t in total]
-        at = np.flatnonzero(np.logical_or.reduce([t > 0 for t in filled]))
-        for start in range(0, len(at), 1 << 17):
-            part = at[start : start + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), *[pa.array(t[part]) for t in filled]], ["g", *names])
-
-    counted = in_arrow(texts.select("text", "grp"), run, "g long, " + ", ".join(f"{n} long" for n in names))
-    return counted.groupBy("g").agg(*[F.sum(n).alias(n) for n in names])
-
-
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Discount of a count: three values from the numbers of counts 1 to 4, looked up by min(count, 3)."""
-    n = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
+            g, _ = grams(batch.column(0), order)
+            if not len(g):
+                continue
+            g.sort()
+            heads = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+            k, c = merged([*keys, g[heads]], [*counts, np.diff(np.append(heads, len(g)))])
+            keys, counts = [k], [c]
+            if len(k) > HELD_GRAMS:
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], ["g", "c"])
+                keys, counts = [], []
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(counts[0])], ["g", "c"])
+
+    return in_arrow(texts.select("text"), run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+
+
+def discounts(n: list[int]) -> list[float]:
+    """Discounts of the counts 1, 2, and 3 or more, from how many n-grams have the counts 1 to 4."""
     y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
     own = [k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] and n[k] else min(0.5, k / 2) for k in (1, 2, 3)]
-    d = np.array([0.0, *(min(max(x, 0.05), k - 0.05) for k, x in zip((1, 2, 3), own))])
-    return d[np.minimum(counts, 3).astype(np.int64)]
-
-
-class KneserNey:
-    """Sorted hash arrays per order: n-grams with probabilities, contexts with back-off weights."""
-
-    def __init__(self, a: Alphabet, hashes: np.ndarray, counts: np.ndarray, shared: np.ndarray | None = None):
-        """``hashes`` ascending with their ``counts`` (> 0). Lower orders count the distinct symbols seen
-        before a shorter n-gram, over ``shared`` (ascending n-gram hashes) if given, else over ``hashes``.
-        """
-        self.a = a
-        mask = lambda n: np.int64((1 << a.bits * n) - 1)
-        levels = {a.order: (hashes.astype(np.int64), counts.astype(np.int64))}
-        below = hashes.astype(np.int64) if shared is None else shared.astype(np.int64)
-        for n in range(a.order - 1, 0, -1):
-            below, seen = np.unique(below & mask(n), return_counts=True)
-            levels[n] = (below, seen)
-        self.log: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.back: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        base = np.float64(1 / (1 << a.bits))
-        for n in range(1, a.order + 1):
-            keys, c = levels[n]
-            context = keys >> a.bits
-            heads = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(keys) else np.zeros(0, np.int64)
-            d = discounts(c)
-            total, held = np.add.reduceat(c, heads).astype(float), np.add.reduceat(d, heads)
-            weight = held / total
-            sizes = np.diff(np.concatenate([heads, [len(keys)]]))
-            lower = base if n == 1 else np.exp(self.logs(keys & mask(n - 1), n - 1))
-            p = (c - d) / np.repeat(total, sizes) + np.repeat(weight, sizes) * lower
-            self.log[n] = (keys, np.log(p).astype(np.float32))
-            self.back[n] = (context[heads], np.log(weight).astype(np.float32))
-
-    @staticmethod
-    def find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known, values = table
-        if not len(known):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
-        at = np.searchsorted(known, keys)
+    return [min(max(x, 0.05), k - 0.05) for k, x in zip((1, 2, 3), own)]
+
+
+def discounted(level: DataFrame, count: str = "c") -> DataFrame:
+    """``level`` with ``d``, the discount of its count."""
+    row = level.agg(*[F.count(F.when(F.col(count) == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
+    one, two, more = discounts(list(row))
+    c = F.col(count)
+    return level.withColumn("d", F.when(c <= 0, 0.0).when(c == 1, one).when(c == 2, two).otherwise(more))
+
+
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(g, log_p) of every n-gram in ``counts`` (g, c): the log-probability of its last byte after the
+    others. Lower orders count the distinct bytes seen before a shorter n-gram. Every order is joined
+    with the sums of its contexts and with the order below."""
+    levels = {order: written(counts, "grams")}
+    for n in range(order - 1, 0, -1):
+        shorter = levels[n + 1].groupBy(F.col("g").bitwiseAND((1 << 8 * n) - 1).alias("g"))
+        levels[n] = written(shorter.agg(F.count("*").alias("c")), "grams")
+    below = None
+    for n in range(1, order + 1):
+        rows = discounted(levels[n]).withColumn("context", F.shiftright("g", 8))
+        sums = rows.groupBy("context").agg(F.sum("c").alias("total"), F.sum("d").alias("held"))
+        rows = rows.join(sums, "context")
+        if below is None:
+            rows = rows.withColumn("lower", F.lit(1 / 256))
+        else:
+            rows = rows.withColumn("rest", F.col("g").bitwiseAND((1 << 8 * (n - 1)) - 1)).join(below, "rest")
+        p = (F.col("c") - F.col("d")) / F.col("total") + F.col("held") / F.col("total") * F.col("lower")
+        below = rows.select(F.col("g").alias("rest"), p.alias("lower"))
+    return written(below.select(F.col("rest").alias("g"), F.log("lower").cast("float").alias("log_p")), "model")
+
+
+def sorted_arrays(table: DataFrame, key: str, value: str, limit: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Keys in ascending order and their values, if the table has at most ``limit`` entries; else None."""
+    if table.count() > limit:
+        return None
+    got = table.select(key, value).toArrow()
+    keys, values = got[key].to_numpy(), got[value].to_numpy()
+    by = np.argsort(keys)
+    return keys[by], values[by].astype(np.float32)
+
+
+def looked_up(arrays: tuple[np.ndarray, np.ndarray], keys: np.ndarray, default: float) -> np.ndarray:
+    """Value of each key. Keys are put in order first, which keeps the search within the cache."""
+    known, values = arrays
+    out = np.full(len(keys), default, np.float32)
+    if len(known) and len(keys):
+        by = np.argsort(keys)
+        asked = keys[by]
+        at = np.searchsorted(known, asked)
         at[at == len(known)] = 0
-        return known[at] == keys, values[at]
-
-    def logs(self, keys: np.ndarray, n: int | None = None) -> np.ndarray:
-        """Log-probability of the last symbol of each n-gram after the others."""
-        n = self.a.order if n is None else n
-        out = np.zeros(len(keys), np.float64)
-        rest = np.arange(len(keys))
-        keys = keys.astype(np.int64)
-        while n and len(rest):
-            known, value = self.find(self.log[n], keys)
-            out[rest[known]] += value[known]
-            rest, keys = rest[~known], keys[~known]
-            known, value = self.find(self.back[n], keys >> self.a.bits)
-            out[rest] += np.where(known, value, 0)
-            n -= 1
-            keys = keys & ((1 << self.a.bits * n) - 1)
-        out[rest] -= self.a.bits * np.log(2)
-        return out
-
-    def every(self) -> np.ndarray:
-        """Log-probability of every possible n-gram: what scoring looks up, ``2 ** (bits * order)`` floats."""
-        out = np.empty(self.a.size, np.float32)
-        step = 1 << 20
-        for start in range(0, self.a.size, step):
-            out[start : start + step] = self.logs(np.arange(start, min(self.a.size, start + step)))
-        return out
+        out[by] = np.where(known[at] == asked, values[at], np.float32(default))
+    return out
 
 
 def per_text(values: np.ndarray, offsets: np.ndarray, how=np.add) -> np.ndarray:
@@ -186,10 +139,3 @@ def per_text(values: np.ndarray, offsets: np.ndarray, how=np.add) -> np.ndarray:
     if len(full):
         out[full] = how.reduceat(values.astype(np.float64), offsets[full])
     return out
-
-
-def collected(counts: DataFrame, names: Iterable[str]) -> dict[str, np.ndarray]:
-    """Count table in order of its hashes, on the driver: bounded by the alphabet."""
-    table = counts.toArrow()
-    by = np.argsort(table["g"].to_numpy())
-    return {n: table[n].to_numpy()[by] for n in ("g", *names)}

@@ -3,6 +3,9 @@
 import math
 import os
 import random
+import re
+import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -27,51 +30,54 @@ def test_counts_as_plain():
     assert s.distinct_words().tolist() == [len(set((t or "").split())) for t in texts]
 
 
-def plain_model(texts, a):
-    """Modified Kneser-Ney by dictionaries: a function from symbol tuples to probabilities."""
-    runs = [(a.pad,) * (a.order - 1) + tuple(int(a.table[b]) for b in (t or "").encode()) for t in texts]
-    count = {}
-    for run in runs:
-        for i in range(a.order - 1, len(run)):
-            g = run[i - a.order + 1 : i + 1]
-            count[g] = count.get(g, 0) + 1
-    levels = {a.order: count}
-    for n in range(a.order - 1, 0, -1):
-        below = {}
-        for g in levels[n + 1]:
-            below[g[1:]] = below.get(g[1:], 0) + 1
-        levels[n] = below
-    drop = {n: dict(zip(c, symbols.discounts(np.array(list(c.values()))))) for n, c in levels.items()}
+def plain_model(texts, order):
+    """Modified Kneser-Ney by dictionaries: a function from tuples of bytes to probabilities, and the runs."""
+    runs = [(symbols.PAD,) * (order - 1) + tuple((t or "").encode()) for t in texts]
+    count = Counter(run[i - order + 1 : i + 1] for run in runs for i in range(order - 1, len(run)))
+    levels = {order: count}
+    for n in range(order - 1, 0, -1):
+        levels[n] = Counter(g[1:] for g in levels[n + 1])
+    cut, sums = {}, {}
+    for n, c in levels.items():
+        of = Counter(c.values())
+        cut[n] = symbols.discounts([of[k] for k in (1, 2, 3, 4)])
+        sums[n] = defaultdict(lambda: [0, 0.0])
+        for g, k in c.items():
+            sums[n][g[:-1]][0] += k
+            sums[n][g[:-1]][1] += cut[n][min(k, 3) - 1]
 
     def p(g):
         if not g:
-            return 1 / 32
-        c = levels[len(g)]
-        same = [x for x in c if x[:-1] == g[:-1]]
-        if not same:
-            return p(g[1:])
-        total = sum(c[x] for x in same)
-        held = sum(drop[len(g)][x] for x in same) / total
-        return (c.get(g, 0) - drop[len(g)].get(g, 0)) / total + held * p(g[1:])
+            return 1 / 256
+        n = len(g)
+        k, (total, held) = levels[n][g], sums[n][g[:-1]]
+        return (k - cut[n][min(k, 3) - 1]) / total + held / total * p(g[1:])
 
     return p, runs
 
 
 def test_model_as_plain(spark):
     texts = ["the cat sat.", "the cat, the hat", None, "", "a1 b2 été", "the the the"]
-    a = symbols.alphabet(3)
-    docs = spark.createDataFrame([(t, 0) for t in texts], "text string, grp int").repartition(3)
-    got = symbols.collected(symbols.count_grams(docs, a), ["c0"])
-    model = symbols.KneserNey(a, got["g"], got["c0"])
-    p, runs = plain_model(texts, a)
-    logs = model.every()
-    for text in [*texts, "unseen zebra!"]:
-        g, offsets = symbols.grams(pa.array([text], pa.string()), a)
-        run = (a.pad,) * 2 + tuple(int(a.table[b]) for b in (text or "").encode())
-        want = [math.log(p(run[i - 2 : i + 1])) for i in range(2, len(run))]
-        assert np.allclose(logs[g], want, atol=1e-4)
-    one = logs.reshape(-1, 32)
-    assert np.allclose(np.exp(one.astype(float)).sum(axis=1), 1, atol=1e-3)  # every context is a distribution
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = {r["g"]: r["log_p"] for r in symbols.kneser_ney(symbols.count_grams(docs, 3), 3).collect()}
+    p, runs = plain_model(texts, 3)
+    want = {}
+    for text, run in zip(texts, runs):
+        g, _ = symbols.grams(pa.array([text], pa.string()), 3)
+        want |= {int(k): math.log(p(run[i : i + 3])) for i, k in enumerate(g)}
+    assert got.keys() == want.keys()
+    assert all(got[g] == pytest.approx(want[g], abs=1e-5) for g in want)
+
+
+def test_counting_in_bounded_memory(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = [prose(rng, 80, ["ab", "cd", "été", "x-y"]) for _ in range(40)]
+    docs = spark.createDataFrame([(t, i % 3) for i, t in enumerate(texts)], "text string, grp int")
+    whole = [sorted(map(tuple, f(docs).collect())) for f in (symbols.count_grams, toxicity_kn.count_words)]
+    for module in (symbols, toxicity_kn):
+        monkeypatch.setattr(module, "HELD_GRAMS", 3)
+    assert whole == [sorted(map(tuple, f(docs).collect())) for f in (symbols.count_grams, toxicity_kn.count_words)]
+    assert sum(c for _, c in whole[0]) == sum(len(t.encode()) for t in texts)
 
 
 def junk_and_prose(seed):
@@ -93,21 +99,129 @@ def test_rules_and_bands(spark):
         assert not (r["base_failed"] and r["kept"])
         if r["doc_id"] is not None and 500 <= r["doc_id"] < 505:
             assert not r["kept"]
-        if r["doc_id"] is not None and r["doc_id"] < 1 or r["doc_id"] in range(20, 100):
-            continue
     kept = {r["doc_id"] for r in got if r["kept"]}
     assert sum(i in kept for i in range(30, 100)) >= 65
 
 
-def test_bands_as_plain(spark):
-    rng = random.Random(5)
-    values = [(rng.choice("ab"), abs(rng.gauss(2, 0.3)), rng.random() < 0.1) for _ in range(2000)] + [("c", 1.0, False)]
-    rows = spark.createDataFrame(values, "lang string, surprise double, base_failed boolean")
-    for r in quality_rules.bands(rows, 2.0).collect():
-        own = sorted(math.floor(v / quality_rules.STEP) for x, v, bad in values if x == r["lang"] and not bad)
-        q1, q3 = (own[math.ceil(len(own) * s) - 1] * quality_rules.STEP for s in (0.25, 0.75))
-        spread = 2.0 * max(q3 - q1, quality_rules.STEP)
-        assert r["low"] == pytest.approx(q1 - spread) and r["high"] == pytest.approx(q3 + quality_rules.STEP + spread)
+def plain_verdicts(rows, fence=quality_rules.FENCE):
+    """{(doc_id, text): kept} by dictionaries; rows: (doc_id, text, lang)"""
+    q = quality_rules
+    p, runs = plain_model([t for _, t, _ in rows], symbols.ORDER)
+    logs = {}
+    judged = []
+    for (i, text, lang), run in zip(rows, runs):
+        n, repeated = plain_counts(text)[0], plain_counts(text)[4]
+        total = 0.0
+        for at in range(symbols.ORDER - 1, len(run)):
+            g = run[at - symbols.ORDER + 1 : at + 1]
+            if g not in logs:
+                logs[g] = math.log(p(g))
+            total -= logs[g]
+        size = len((text or "").encode())
+        lettered = len(re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text or ""))
+        klass = max(0, math.floor(math.log2(max(size, 1) / q.SHORT)))
+        judged.append((i, text, lang or "", klass, size, total / max(1, lettered), n < 20 or 100 * repeated > 30 * n))
+
+    def band(chosen):
+        steps = sorted(math.floor(x / q.STEP) for x in chosen)
+        q1, q3 = (steps[math.ceil(len(steps) * share) - 1] * q.STEP for share in (0.25, 0.75))
+        spread = fence * max(q3 - q1, q.LEAST_SPREAD)
+        return q1 - spread, q3 + q.STEP + spread, spread
+
+    out = []
+    for i, text, lang, klass, size, x, bad in judged:
+        own = [r[5] for r in judged if r[2] == lang and r[3] == klass and not r[6]]
+        all_ = [r[5] for r in judged if r[2] == lang and not r[6]]
+        if bad:
+            out.append((i, text, False))
+            continue
+        if len(own) >= q.FEW:
+            low, high, _ = band(own)
+        else:
+            low, high, spread = band(all_)
+            wider = spread * (math.sqrt(max(1, q.FULL_LENGTH / max(size, 1))) - 1)
+            low, high = low - wider, high + wider
+        out.append((i, text, low <= x <= high))
+    return out
+
+
+@pytest.mark.parametrize("limit", [0, quality_rules.BROADCAST_ENTRIES])
+def test_verdicts_as_plain(spark, limit):
+    rng = random.Random(11)
+    words = ["the", "of", "river", "stone", "lantern", "quietly", "été", "winter", "harbour", "bright", "mill", "ago"]
+    rows = [(i, prose(rng, rng.randint(22, 200), words) + ".", rng.choice(["en", "en", "en", "fr"])) for i in range(260)]
+    rows += [(900 + i, " ".join(f"{w}{rng.choice(['###', '&&&'])}" for w in rng.choices(words, k=60)), "en") for i in range(8)]
+    rows += [(950 + i, " | ".join("".join(rng.choices("qzxjkv", k=9)) for _ in range(40)), "en") for i in range(4)]
+    rows += [(i, t, None) for i, t in awkward() if len(t or "") < 3000]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    text_of = docs.select(F.struct("doc_id", "text").alias("doc_id"), "text", "lang")
+    got = [(r["doc_id"]["doc_id"], r["doc_id"]["text"], r["kept"]) for r in quality_rules.judge(text_of, limit=limit).collect()]
+    assert sorted(got, key=str) == sorted(plain_verdicts(rows), key=str)
+    kept = {i for i, _, k in got if k}
+    assert not kept & set(range(900, 960)) and len(kept & set(range(260))) >= 255
+
+
+def plain_toxicity(rows, label_of):
+    """{doc_id: highest ratio of a word} by dictionaries; rows: (doc_id, text)"""
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    flat = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in t or ""))
+    counts = [Counter(), Counter(), Counter()]
+    for i, text in rows:
+        for w in set(flat(text)):
+            counts[2][w] += 1
+            if fold(i) > toxicity_kn.CALIBRATION and i in label_of:
+                counts[label_of[i]][w] += 1
+    of = Counter(counts[2].values())
+    cut = symbols.discounts([of[k] for k in (1, 2, 3, 4)])
+    total = sum(counts[2].values())
+    held = sum(cut[min(k, 3) - 1] for k in counts[2].values()) / total
+    shared = {w: (k - cut[min(k, 3) - 1]) / total + held / len(counts[2]) for w, k in counts[2].items()}
+
+    def log_p(w, c):
+        n, d = sum(counts[c].values()), toxicity_kn.DISCOUNT
+        back = sum(min(k, d) for k in counts[c].values()) / n
+        return math.log((counts[c][w] - min(counts[c][w], d)) / n + back * shared[w])
+
+    return {i: max((log_p(w, 1) - log_p(w, 0) for w in flat(text)), default=0.0) for i, text in rows}
+
+
+@pytest.mark.parametrize("limit", [0, toxicity_kn.BROADCAST_ENTRIES])
+def test_toxicity_as_plain(spark, limit):
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(150)] + ["Été", "A-b", "x,y"]
+    rows, label_of = [], {}
+    for i in range(400):
+        bad = i % 4 == 0
+        rows.append((i, prose(rng, 30, words) + (" Vile, word" if bad else " end.")))
+        if i % 3:
+            label_of[i] = int(bad)
+    rows += [(1000, None), (1001, ""), (1002, "#!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(list(label_of.items()), "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity_kn.score(docs, labels, limit=limit).collect()}
+    want = plain_toxicity(rows, label_of)
+    assert got.keys() == want.keys()
+    assert all(got[i]["log_ratio"] == pytest.approx(want[i], abs=1e-4) for i in want)
+    assert all(got[i]["predicted"] == (i < 400 and i % 4 == 0) for i in got)
+    ranked = sorted(got.values(), key=lambda r: r["log_ratio"])
+    assert all(a["score"] <= b["score"] for a, b in zip(ranked, ranked[1:]))
+
+
+def test_stretches_as_plain(spark):
+    rng = random.Random(17)
+    docs = [(i, prose(rng, rng.randint(0, 12), ["a", "b", "c", "d"])) for i in range(60)]
+    ratio_of = {"a": 1.0, "b": -2.0, "c": 0.5}
+    keys = {w: int(toxicity_kn.plain_words(pa.array([w]))[0][0]) for w in ratio_of}
+    table = spark.createDataFrame([(keys[w], r) for w, r in ratio_of.items()], "h long, ratio float")
+    model = toxicity_kn.ToxicityModel(table, -0.25)
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    for stretch in (1, 3):
+        for limit in (0, 100):
+            got = {r["doc_id"]: r["value"] for r in toxicity_kn.text_values(rows, model, limit, stretch).collect()}
+            for i, text in docs:
+                x = [ratio_of.get(w, -0.25) for w in text.split()]
+                runs = [x[j : j + stretch] for j in range(len(x) - stretch + 1)] or ([x] if x else [])
+                assert got[i] == pytest.approx(max((sum(r) / len(r) for r in runs), default=0.0))
 
 
 def test_trees_find_the_best_cut():
