@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.llm.common import in_arrow, written
-from delaykit.llm.symbols import BROADCAST_ENTRIES, count_grams, grams, kneser_ney, looked_up, per_text, sorted_arrays
+from delaykit.llm.symbols import BROADCAST_ENTRIES, count_grams, grams, kneser_ney, per_text, sorted_arrays, summed
 from delaykit.llm.text_stats import Stats
 from delaykit.operators.lookup import fits_broadcast
 
@@ -83,7 +83,7 @@ def measured(docs: DataFrame, model: DataFrame, limit: int = BROADCAST_ENTRIES)
         def run(batches):
             for batch in batches:
                 g, offsets = grams(batch.column(2))
-                total = per_text(looked_up(shared.value, g, 0.0), offsets)
+                total = summed(shared.value, g, offsets)
                 yield pa.RecordBatch.from_arrays([*counts_of(batch), pa.array(total)], [*columns, "total"])
 
         rows = in_arrow(docs.select("doc_id", "lang", "text"), run, f"doc_id {kind}, lang string, {counted}, total double")

@@ -19,6 +19,7 @@ from delaykit.llm.common import in_arrow, written
 ORDER = 5
 PAD = 0xFF
 HELD_GRAMS = 1 << 21
+TEXT_BITS = 63 - 8 * ORDER
 #: Entries of a table that is broadcast at most; an entry takes 12 bytes.
 BROADCAST_ENTRIES = 8_000_000
 
@@ -132,6 +133,28 @@ def looked_up(arrays: tuple[np.ndarray, np.ndarray], keys: np.ndarray, default:
     return out
 
 
+def summed(arrays: tuple[np.ndarray, np.ndarray], g: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of the values of each text's n-grams, unknown ones 0. N-gram and text share one number, so that
+    plain sorting brings equal n-grams together and each is looked up once."""
+    known, values = arrays
+    out = np.zeros(len(offsets) - 1)
+    for first in range(0, len(out), 1 << TEXT_BITS):
+        at = offsets[first : first + (1 << TEXT_BITS) + 1]
+        both = g[at[0] : at[-1]] << TEXT_BITS
+        both |= np.repeat(np.arange(len(at) - 1), np.diff(at))
+        if not len(both) or not len(known):
+            continue
+        both.sort()
+        own = both >> TEXT_BITS
+        heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        asked = own[heads]
+        place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+        found = np.where(known[place] == asked, values[place], np.float32(0)).astype(np.float64)
+        weights = np.repeat(found, np.diff(np.append(heads, len(both))))
+        out[first : first + len(at) - 1] = np.bincount(both & ((1 << TEXT_BITS) - 1), weights, len(at) - 1)
+    return out
+
+
 def per_text(values: np.ndarray, offsets: np.ndarray, how=np.add) -> np.ndarray:
     """Sum (or other reduction) per text; 0 for empty ones."""
     out = np.zeros(len(offsets) - 1)

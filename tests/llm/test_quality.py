@@ -69,6 +69,21 @@ def test_model_as_plain(spark):
     assert all(got[g] == pytest.approx(want[g], abs=1e-5) for g in want)
 
 
+def test_sums_per_text(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [None, "", "abc" * 50, "é" * 3, "\U0010ffff" * 4, ""]
+    texts += ["".join(chr(c) for c in rng.integers(32, 400, rng.integers(0, 80))) for _ in range(200)]
+    g, offsets = symbols.grams(pa.array(texts, pa.string()))
+    known = np.unique(g)[::2]
+    values = rng.random(len(known)).astype(np.float32)
+    table = dict(zip(known.tolist(), values.tolist()))
+    want = [sum(table.get(k, 0.0) for k in g[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
+    assert symbols.summed((known, values), g, offsets) == pytest.approx(want)
+    assert not symbols.summed((known[:0], values[:0]), g, offsets).any()
+    monkeypatch.setattr(symbols, "TEXT_BITS", 3)  # more texts than the bits name
+    assert symbols.summed((known, values), g, offsets) == pytest.approx(want)
+
+
 def test_counting_in_bounded_memory(spark, monkeypatch):
     rng = random.Random(7)
     texts = [prose(rng, 80, ["ab", "cd", "été", "x-y"]) for _ in range(40)]
