@@ -42,8 +42,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_arrow(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` whose function sees record batches of at most ``SLICE_BYTES`` of text each.
+def in_arrow(df: DataFrame, fn: Callable, schema: T.StructType | str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``mapInArrow`` whose function sees record batches of at most ``slice_bytes`` of text each.
 
     Workers find this package where the driver has it; where machines share no such folder, ship
     it with ``--py-files``.
@@ -54,13 +54,13 @@ def in_arrow(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFra
         known["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return fn(slices(batches))
+        return fn(slices(batches, slice_bytes))
 
     return df.mapInArrow(run, schema)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str | None = None) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that one slice holds about ``SLICE_BYTES``; a longer row stands alone."""
+def slices(batches: Iterator[pa.RecordBatch], slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that one slice holds about ``slice_bytes``; a longer row stands alone."""
     for batch in batches:
         start = 0
         sizes = np.zeros(batch.num_rows, np.int64)
@@ -70,7 +70,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | None = None) -> Iter
         ends = np.cumsum(sizes)
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, base + slice_bytes, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 

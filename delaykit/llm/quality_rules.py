@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.llm.common import in_arrow, written
-from delaykit.llm.symbols import BROADCAST_ENTRIES, count_grams, grams, kneser_ney, per_text, sorted_arrays, summed
+from delaykit.llm.symbols import BROADCAST_ENTRIES, GRAM_SLICE, count_grams, grams, kneser_ney, per_text, sorted_arrays, summed
 from delaykit.llm.text_stats import Stats
 from delaykit.operators.lookup import fits_broadcast
 
@@ -86,7 +86,7 @@ def measured(docs: DataFrame, model: DataFrame, limit: int = BROADCAST_ENTRIES)
                 total = summed(shared.value, g, offsets)
                 yield pa.RecordBatch.from_arrays([*counts_of(batch), pa.array(total)], [*columns, "total"])
 
-        rows = in_arrow(docs.select("doc_id", "lang", "text"), run, f"doc_id {kind}, lang string, {counted}, total double")
+        rows = in_arrow(docs.select("doc_id", "lang", "text"), run, f"doc_id {kind}, lang string, {counted}, total double", GRAM_SLICE)
         return rows.withColumn("surprise", surprise).drop("total", "n_lettered")
 
     numbered = written(docs.select("doc_id", "lang", "text", F.monotonically_increasing_id().alias("place")), "numbered")
@@ -107,8 +107,8 @@ def measured(docs: DataFrame, model: DataFrame, limit: int = BROADCAST_ENTRIES)
                         [pa.array(np.full(len(own[part]), place[i])), pa.array(own[part]), pa.array(n[part])], ["place", "g", "n"]
                     )
 
-    rows = in_arrow(numbered, only_counts, f"doc_id {kind}, lang string, {counted}, place long")
-    parts = in_arrow(numbered.select("place", "text"), taken_apart, "place long, g long, n long")
+    rows = in_arrow(numbered, only_counts, f"doc_id {kind}, lang string, {counted}, place long", GRAM_SLICE)
+    parts = in_arrow(numbered.select("place", "text"), taken_apart, "place long, g long, n long", GRAM_SLICE)
     totals = parts.join(model, "g").groupBy("place").agg(F.sum(F.col("n") * F.col("log_p").cast("double")).alias("total"))
     joined = rows.join(totals, "place", "left").withColumn("total", F.coalesce("total", F.lit(0.0)))
     return joined.withColumn("surprise", surprise).drop("total", "n_lettered", "place")

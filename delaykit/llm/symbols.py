@@ -19,6 +19,8 @@ from delaykit.llm.common import in_arrow, written
 ORDER = 5
 PAD = 0xFF
 HELD_GRAMS = 1 << 21
+#: Text taken apart at once: an n-gram takes 8 bytes, and several arrays of them are in use at a time.
+GRAM_SLICE = 2 << 20
 TEXT_BITS = 63 - 8 * ORDER
 #: Entries of a table that is broadcast at most; an entry takes 12 bytes.
 BROADCAST_ENTRIES = 8_000_000
@@ -70,7 +72,7 @@ def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
         if keys:
             yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(counts[0])], ["g", "c"])
 
-    return in_arrow(texts.select("text"), run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+    return in_arrow(texts.select("text"), run, "g long, c long", GRAM_SLICE).groupBy("g").agg(F.sum("c").alias("c"))
 
 
 def discounts(n: list[int]) -> list[float]:
