@@ -8,18 +8,29 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.operators.lookup import plain_key
 from delaykit.sources.sinks import staged
 
+PASS_COLUMNS = 48  # a grouping number has 64 bits
 RESULT = "kind string, columns string, determines string"
 
 
 def distinct_counts(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> dict[tuple[str, ...], int]:
-    """Distinct values of every set of columns, null being a value, all sets in one pass."""
-    cells = F.array(*[F.struct(F.lit(i).alias("i"), plain_key(*s).alias("v")) for i, s in enumerate(sets)])
-    values = df.select(F.explode(cells).alias("c")).groupBy("c.i", "c.v").agg(F.count(F.lit(1)).alias("k"))
-    found = {r["i"]: r["n"] for r in values.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {s: found.get(i, 0) for i, s in enumerate(sets)}
+    """Distinct values of every set of columns, null being a value. The values are grouped as they are, by
+    grouping sets, so no text is made of them; the grouping number tells which columns a set leaves out. A pass
+    takes all sets as long as they have at most ``PASS_COLUMNS`` columns."""
+    passes: list[list[tuple[str, ...]]] = [[]]
+    for s in sets:
+        if len({c for t in [*passes[-1], s] for c in t}) > PASS_COLUMNS:
+            passes.append([])
+        passes[-1].append(s)
+    found = {}
+    for some in passes:
+        used = [c for c in df.columns if any(c in s for s in some)]
+        number = {sum(1 << (len(used) - 1 - i) for i, c in enumerate(used) if c not in s): s for s in some}
+        values = df.groupingSets([[F.col(f"`{c}`") for c in s] for s in some], *[F.col(f"`{c}`") for c in used])
+        counts = values.agg(F.grouping_id().alias("__set")).groupBy("__set").agg(F.count(F.lit(1)).alias("__n"))
+        found |= {number[r["__set"]]: r["__n"] for r in counts.collect()}
+    return {s: found.get(s, 0) for s in sets}
 
 
 def key_search(df: DataFrame, columns: Sequence[str], max_size: int = 3) -> DataFrame:

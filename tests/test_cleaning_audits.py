@@ -113,3 +113,15 @@ def test_key_search(spark):
     assert {r[1:] for r in got if r[0] == "dependency"} == {("", "same"), ("a", "half")} | {r[1:] for r in got if r[2] == "hole"}
     assert ("dependency", "half", "a") not in got and ("dependency", "a", "hole") not in got
     assert [tuple(r) for r in keys.key_search(df.limit(1), ["a"]).collect()] == [("key", "", None)]
+
+
+def test_sets_are_counted_without_making_text(spark, monkeypatch):
+    df = spark.createDataFrame([(0.0, 1, None), (-0.0, 1, "x"), (0.5, 2, None), (None, None, "x")], "a double, b int, c string")
+    sets = [("a",), ("b",), ("c",), ("a", "b"), ("b", "c"), ("a", "b", "c")]
+    want = dict(zip(sets, [3, 3, 2, 3, 4, 4]))  # 0 and -0 are one number
+    assert keys.distinct_counts(df, sets) == want
+    monkeypatch.setattr(keys, "PASS_COLUMNS", 2)
+    assert keys.distinct_counts(df, sets) == want
+    wide = spark.range(5).select(*[(F.col("id") % (i % 4 + 1)).alias(f"c{i}") for i in range(70)])
+    monkeypatch.setattr(keys, "PASS_COLUMNS", 48)
+    assert keys.distinct_counts(wide, [(c,) for c in wide.columns]) == {(f"c{i}",): i % 4 + 1 for i in range(70)}
