@@ -142,3 +142,20 @@ def test_many_values_are_joined_by_shuffle(spark, monkeypatch):
     assert {r["id"]: r["p"] for r in plan.collect()} == expected
     both = average_ranks(df.select("x", F.col("id").alias("i")), ["x", "i"])
     assert both.count() == df.count()
+
+
+@pytest.mark.parametrize("limit", [1 << 26, 6000, 0])
+def test_average_ranks_in_tasks_of_bounded_size(spark, limit):
+    """Short columns by broadcast, long ones by a join without hot values: the same ranks."""
+    import pandas as pd
+
+    data = [(n % 3 and f"k{n % 2}" or None, float(n % 3) if n % 4 else None, 5.0 if n % 2 else float(n), n % 5 and float(-n) or None) for n in range(3000)]
+    frame = pd.DataFrame(data, columns=["k", "x", "y", "z"])
+    df = spark.createDataFrame(data, "k string, x double, y double, z double")
+    got = average_ranks(df, ["x", "y", "z"], ["k"], limit=limit, task_rows=500)
+    want = frame[["x", "y", "z"]].groupby(frame["k"].fillna("")).rank()
+    plain = lambda rows: sorted(str([None if v != v or v is None else v for v in r]) for r in rows)
+    assert plain(got.select("x", "y", "z").collect()) == plain(want.astype(float).to_numpy().tolist())
+    if not limit:
+        sizes = got.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert len(sizes) > 10 and max(sizes) < 1000
