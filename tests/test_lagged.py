@@ -136,3 +136,25 @@ def test_tiers_and_fills_of_many_groups(spark):
     got = {(r[0], r[1]): (r[2], r[3]) for r in prior_rates(rates, "YEAR", "OP_UNIQUE_CARRIER").collect()}
     assert got.keys() == want.keys()
     assert all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-9 for k in want)
+
+
+def test_code_goes_by_the_greatest_flag_without_sorting_lines(spark, tmp_path):
+    import datetime as dt
+
+    from delaykit.catalogue.feature_queries import coded_flights
+
+    flags = {1: ["A", "R"], 2: ["N", None, "A"], 3: [None], 4: ["A"], 5: ["R", "Z"], 6: ["B", "A"], 7: ["RA"], 8: ["O", "N"], 9: [], 10: [""]}
+    lines = [(o, 1.0, 2.0, 0.1, 0.2, f) for o, fs in flags.items() for f in fs]
+    orders = [(o, 1, dt.datetime(1996, 1, o), "1-URGENT", "F", 100.5) for o in flags]
+    for name, rows, schema in (
+        ("lineitem", lines, "l_orderkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string"),
+        ("orders", orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string, o_orderstatus string, o_totalprice double"),
+        ("customer", [(1, 0)], "c_custkey long, c_nationkey int"),
+        ("nation", [(n, f"n{n}") for n in range(25)], "n_nationkey int, n_name string"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = coded_flights(spark, str(tmp_path))
+    greatest = {"R": "RA", "A": "-SN BLSN", "N": "FZRA|TS"}
+    want = {o: greatest.get(max((f for f in fs if f is not None), default=None)) for o, fs in flags.items()}
+    assert {r["o_orderkey"]: r["AggHourlyPresentWeatherType"] for r in found.collect()} == want
+    assert "SortAggregate" not in found._jdf.queryExecution().toString()

@@ -244,3 +244,27 @@ def test_shared_fits_give_the_metrics_of_single_ones(spark):
 def test_a_failed_fit_is_reported_for_every_setting_it_serves(spark):
     found = blocking_search(boosting_rows(spark), "gbt", expand_grid({"maxIter": [2, 4], "maxBins": [1]}), "y")
     assert found.metrics.isEmpty() and found.failures.count() == 4
+
+
+def test_rows_are_encoded_once(flights, monkeypatch):
+    """Ranking and scaling read the written vectors."""
+    from pyspark.ml.feature import OneHotEncoderModel
+
+    from delaykit.plans import training
+
+    seen = []
+
+    def staged(df, name):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString().count("UDF")))
+        return keep(df, name)
+
+    keep = training.staged
+    monkeypatch.setattr(training, "staged", staged)
+    ready = prepare(flights, SET, hold(), "time", scale=True)
+    assert [name for name, _ in seen] == ["encoded", "train"] and seen[0][1] > seen[1][1]
+    whole = build_pipeline(flights.filter(~hold()), SET, scale=True)
+    assert any(isinstance(s, OneHotEncoderModel) for s in ready.pipeline.stages) and len(ready.pipeline.stages) == len(whole.stages)
+    want = {r["t"]: r["scaledFeatures"].toArray() for r in whole.transform(flights).collect()}
+    got = [r for part in (ready.train, ready.holdout) for r in part.collect()]
+    assert len(got) == len(want) and all(abs(r["scaledFeatures"].toArray() - want[r["t"]]).max() < 1e-9 for r in got)
+    assert (ready.pipeline.transform(flights).count()) == len(want)
