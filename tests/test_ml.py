@@ -268,3 +268,51 @@ def test_rows_are_encoded_once(flights, monkeypatch):
     got = [r for part in (ready.train, ready.holdout) for r in part.collect()]
     assert len(got) == len(want) and all(abs(r["scaledFeatures"].toArray() - want[r["t"]]).max() < 1e-9 for r in got)
     assert (ready.pipeline.transform(flights).count()) == len(want)
+
+
+def test_a_round_of_boosting_is_sent_without_the_rounds_before(spark):
+    """The lineage of round n holds no tree of the rounds before it: the checkpoint folder is set, every round cuts."""
+    df = boosting_rows(spark)
+    assert make_estimator("gbt", {"maxIter": 2}, "y").getCheckpointInterval() == 1
+    assert make_estimator("gbt", {"checkpointInterval": 4}, "y").getCheckpointInterval() == 4
+    blocking_search(df, "gbt", [{"maxIter": 2, "maxDepth": 2}], "y")
+    assert spark.sparkContext.getCheckpointDir() is not None
+    # what is sent decides nothing
+    near, far = (make_estimator("gbt", {"maxIter": 6, "maxDepth": 4, "checkpointInterval": n}, "y").fit(df) for n in (1, -1))
+    assert [t.toDebugString.split("\n", 1)[1] for t in near.trees] == [t.toDebugString.split("\n", 1)[1] for t in far.trees]
+
+
+def test_fits_read_their_own_fold_in_large_parts(spark, monkeypatch):
+    from delaykit.ml import search
+
+    df = boosting_rows(spark).repartition(6)
+    for size, parts in ((100_000, 1), (100, 3)):
+        monkeypatch.setattr(search, "FIT_ROWS", size)
+        rows = search.FoldRows(df, "fold", "is_val", [0, 0, 1])
+        train, held = rows.get(0)
+        assert train.rdd.getNumPartitions() == parts
+        assert train.count() == df.filter("fold = 0 and not is_val").count() and held.count() == df.filter("fold = 0 and is_val").count()
+        rows.get(1)
+        rows.done(0)
+        assert set(rows.kept) == {0, 1} and train.is_cached
+        rows.done(0)
+        assert set(rows.kept) == {1} and not train.is_cached
+        rows.release()
+        assert not rows.kept
+
+
+@pytest.mark.parametrize("family", ["lr", "svm"])
+def test_a_fit_that_ended_on_its_own_serves_shorter_runs(spark, monkeypatch, family):
+    from delaykit.ml import search
+
+    df, made = boosting_rows(spark), []
+    grid = expand_grid({"regParam": [2.0], "maxIter": [2, 30, 40]} | ({"elasticNetParam": [1.0]} if family == "lr" else {}))
+    alone = [blocking_search(df, family, [g], "y", (0.4, 0.6)) for g in grid]
+    keep = search.make_estimator
+    monkeypatch.setattr(search, "make_estimator", lambda *a: made.append(a[1]["maxIter"]) or keep(*a))
+    together = blocking_search(df, family, grid, "y", (0.4, 0.6))
+    rows = lambda found: sorted(tuple(r) for r in found.metrics.collect())
+    assert rows(together) == sorted(r for a in alone for r in rows(a)) and together.failures.isEmpty()
+    assert set(together.models) == {i for a in alone for i in a.models}
+    assert all(together.models[i].coefficients == m.coefficients for a in alone for i, m in a.models.items())
+    assert len(made) < 2 * len(grid) and made.count(40) == 2
