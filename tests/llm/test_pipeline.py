@@ -7,6 +7,8 @@ import sys
 import numpy as np
 import pytest
 from helpers import awkward, documents, plain_repeats, plain_shingles
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from test_near_copies import plain_copies
 from tokenizers import Tokenizer
 
@@ -90,3 +92,27 @@ def test_stages_decide_row_by_row(spark, tmp_path):
             got = stage(spark, docs, str(tmp_path))
             left = [tuple(r) for r in got.select("doc_id", "text").collect()]
             assert sorted(left, key=str) == sorted(want[name], key=str)
+
+
+def test_groups_by_fingerprint_are_checked(spark, tmp_path, monkeypatch):
+    """The stage hands the links of op6 to the check; a wrong one joins nothing, a right one is kept."""
+    texts = [" ".join(f"{k}{n}" for n in range(60)) for k in "abc"]
+    texts += [texts[0] + " end", texts[1].upper(), None, ""]
+    docs = documents(spark, list(enumerate(texts)))
+    called, compared = [], []
+    real, pairs = corpus_pipeline.simhash.near_duplicates, corpus_pipeline.near_copies.plausible
+
+    def guessing(df, **options):
+        called.append(real(df, **options).count())
+        return real(df, **options).withColumn("component_id", F.first("doc_id").over(Window.partitionBy(F.lit(1)).orderBy("doc_id")))
+
+    def looked_at(found, *rest):
+        compared.append(found.count())
+        return pairs(found, *rest)
+
+    monkeypatch.setattr(corpus_pipeline.simhash, "near_duplicates", guessing)
+    monkeypatch.setattr(corpus_pipeline.near_copies, "plausible", looked_at)
+    left = corpus_pipeline.keep_one_of_each(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 2, 5]
+    # all texts guessed to be one: each of the four other sets stands beside the first
+    assert called == [len(texts)] and compared[0] == 4
