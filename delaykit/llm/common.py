@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from delaykit.session import checkpoint_dir
 
 SLICE_BYTES = 8 << 20
+SHINGLE_SLICE = 2 << 20  # where every word of a slice becomes several numbers
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 WORD = r"[^\x20\x09-\x0D]+"
 MIX = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of a rolling polynomial hash

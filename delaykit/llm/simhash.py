@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import components, in_arrow, lower_ascii, split_words, written
+from delaykit.llm.common import SHINGLE_SLICE, components, in_arrow, lower_ascii, split_words, written
 
 SEED = 42
 CHUNK = 1 << 20
@@ -69,7 +69,7 @@ def with_fingerprint(df: DataFrame, shingle: int = 3, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
 
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return in_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    return in_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long", SHINGLE_SLICE)
 
 
 def links(distinct: DataFrame) -> DataFrame:

@@ -116,3 +116,19 @@ def test_groups_by_fingerprint_are_checked(spark, tmp_path, monkeypatch):
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 2, 5]
     # all texts guessed to be one: each of the four other sets stands beside the first
     assert called == [len(texts)] and compared[0] == 4
+
+
+def test_shingles_are_made_of_small_slices(spark, monkeypatch):
+    from delaykit.llm import common
+
+    seen = []
+    for module in (corpus_pipeline.simhash, corpus_pipeline.near_copies):
+        real = module.in_arrow
+        monkeypatch.setattr(module, "in_arrow", lambda df, fn, schema, size=common.SLICE_BYTES, real=real: seen.append(size) or real(df, fn, schema, size))
+        monkeypatch.setattr(module, "SHINGLE_SLICE", 40)
+    docs = documents(spark, awkward())
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, "")
+    assert seen and set(seen) == {40}
+    monkeypatch.undo()
+    key = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    assert key(kept) == key(corpus_pipeline.keep_one_of_each(spark, docs, ""))
