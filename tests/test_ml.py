@@ -3,10 +3,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from delaykit.catalogue.feature_queries import feature_stage
 from delaykit.config import FEATURE_SETS, FeatureSet
 from delaykit.ml import reports
 from delaykit.ml.estimators import boosting_prefix, boosting_scores, make_estimator, naive_predictions, score_rows
-from delaykit.ml.preparation import build_pipeline, cardinality, feature_names
+from delaykit.ml.preparation import build_pipeline, cardinality, feature_names, numbered, transformed, vectors
 from delaykit.ml.search import FAILURE_SCHEMA, SearchResult, blocking_search, expand_grid, kfold_search, shared_fits
 from delaykit.ml.selection import best_model, best_row, holdout_metrics, mean_metrics, top_settings
 from delaykit.operators.metrics import confusion_metrics, dropped_rows
@@ -316,3 +317,28 @@ def test_a_fit_that_ended_on_its_own_serves_shorter_runs(spark, monkeypatch, fam
     assert set(together.models) == {i for a in alone for i in a.models}
     assert all(together.models[i].coefficients == m.coefficients for a in alone for i, m in a.models.items())
     assert len(made) < 2 * len(grid) and made.count(40) == 2
+
+
+@pytest.mark.parametrize(("one_hot", "impute"), [(True, False), (True, True), (False, False)])
+def test_steps_of_the_preparation_are_the_whole(spark, one_hot, impute):
+    rows = [("a", 1, 0.5, 2.0), ("a", 1, 1.5, None), ("b", 2, float("nan"), 1.0), ("c", 2, 2.5, 3.0), ("c", 2, 0.0, 0.0), ("c", 3, 1.0, 4.0)]
+    train = spark.createDataFrame(rows, "k string, n int, x double, y double")
+    fresh = train.union(spark.createDataFrame([("z", 1, 1.0, 1.0), (None, 1, 1.0, 1.0), ("a", None, 1.0, 1.0), ("b", 3, 1.0, 7.0)], train.schema))
+    pipeline = build_pipeline(train, FeatureSet("s", ("k", "n"), ("x", "y")), one_hot, impute)
+    narrow, inputs = numbered(pipeline, fresh)
+    steps, whole = vectors(pipeline, narrow.select("k", "n", *inputs)), pipeline.transform(fresh)
+    assert steps.schema["features"].metadata == whole.schema["features"].metadata
+    assert sorted(map(str, steps.select("k", "n", "features").collect())) == sorted(map(str, whole.select("k", "n", "features").collect()))
+
+
+def test_encoders_vectors_are_made_once(spark):
+    rows = spark.range(60).selectExpr("cast(id % 3 as string) k", "cast(id % 4 as double) x")
+    pipeline = build_pipeline(rows, FeatureSet("s", ("k",), ("x",)))
+    made = transformed(pipeline, rows, ["k"], in_steps=True)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan and "k_idx" in plan  # no look at the encoders' vectors, and no label in this step
+    assert made.count() == 60
+
+
+def test_features_are_not_brought_together_by_year(spark):
+    assert not any("YEAR=" in f for f in feature_stage(spark, "/root/testdata/sf0.001").inputFiles())
