@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import gram_hashes, gram_starts, hash_strings, in_arrow, lower_ascii, split_words
+from delaykit.llm.common import SHINGLE_SLICE, gram_hashes, gram_starts, hash_strings, in_arrow, lower_ascii, split_words
 
 SHINGLE = 5
 BLOCK_SHINGLES = 500_000
@@ -114,7 +114,7 @@ def containment(
         sketches = spark.sparkContext.broadcast(
             Sketches([r["item_id"] for r in rows], [r["text"] for r in rows], threshold)
         )
-        parts.append(in_arrow(docs, search(sketches, threshold, schema), schema))
+        parts.append(in_arrow(docs, search(sketches, threshold, schema), schema, SHINGLE_SLICE))
     return reduce(DataFrame.union, parts)
 
 
