@@ -115,3 +115,11 @@ def test_checkpoints_are_reliable_ones(spark):
     assert df.count() == 5
     assert "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
     assert checkpoint_dir(spark) == checkpoint_dir(spark)
+
+
+def test_a_large_file_of_a_stage_is_read_by_several_tasks(spark):
+    rows = spark.range(0, 3_000_000, 1, 1).select((F.col("id") % 1).alias("YEAR"), F.xxhash64("id").alias("x"))
+    kept = sinks.staged(rows, "long", "YEAR")
+    assert len(kept.inputFiles()) == 1
+    counts = [r["n"] for r in kept.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(counts) > 1 and sum(counts) == 3_000_000
