@@ -34,7 +34,7 @@ def op1_quality_gam(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_toxicity_kn(spark: SparkSession, sf: str) -> DataFrame:
-    return toxicity_kn.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return toxicity_kn.score(table(spark, sf, "documents"), table(spark, sf, "labels"), stretch=toxicity_kn.STRETCH)
 
 
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:

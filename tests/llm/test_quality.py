@@ -239,6 +239,32 @@ def test_stretches_as_plain(spark):
                 assert got[i] == pytest.approx(max((sum(r) / len(r) for r in runs), default=0.0))
 
 
+@pytest.mark.parametrize("limit", [0, toxicity_kn.BROADCAST_ENTRIES])
+def test_query_weighs_stretches_by_their_length(spark, tmp_path, monkeypatch, limit):
+    """The query's value of a text is the highest mean of three words in a row: bad words side by side tell
+    more than one alone, whatever the length of the text."""
+    from delaykit.llm import catalogue
+
+    rng, plain = random.Random(19), [f"w{i}" for i in range(100)]
+    rows = [(i, prose(rng, rng.randint(5, 60), plain) + (" vile foul nasty" if i % 4 == 0 else "")) for i in range(400)]
+    rows += [(1000, "w1 w2 w3 vile foul nasty w4"), (1001, "w1 w2 vile w3 w4 w5"), (1002, "vile"), (1003, "vile w1"), (1004, "")]
+    label_of = {i: int(i % 4 == 0) for i, _ in rows[:400] if i % 3}
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(label_of.items()), "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    keep = toxicity_kn.score
+    monkeypatch.setattr(toxicity_kn, "score", lambda *a, **k: keep(*a, **k, limit=limit))
+    got = {r["doc_id"]: r["log_ratio"] for r in catalogue.op2_toxicity_kn(spark, str(tmp_path)).collect()}
+    ratio_of = plain_toxicity(rows, label_of)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = toxicity_kn.fit(docs, spark.createDataFrame(list(label_of.items()), "doc_id long, label int"))
+    word = {r["h"]: r["ratio"] for r in model.ratios.collect()}
+    for i, text in rows:
+        x = [word.get(h, model.default) for h in toxicity_kn.plain_words(pa.array([text]))[0].tolist()]
+        runs = [x[j : j + 3] for j in range(len(x) - 2)] or ([x] if x else [])
+        assert got[i] == pytest.approx(max((sum(r) / len(r) for r in runs), default=0.0), abs=1e-4)
+    assert got[1000] > got[1003] > got[1001] and got[1000] < ratio_of[1000]
+
+
 def test_trees_find_the_best_cut():
     g, h = np.array([1.0, 1, 1, -4, -4, 2]), np.ones(6)
     assert len(set(quality_gam.tree_1d(g, h, 3))) == 3
