@@ -337,3 +337,21 @@ def test_encoders_vectors_are_made_once(spark):
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" not in plan and "k_idx" in plan  # no look at the encoders' vectors, and no label in this step
     assert made.count() == 60
+
+
+@pytest.mark.parametrize("limit", [2, 256])
+def test_vectors_of_the_plan_are_the_stages(spark, monkeypatch, limit):
+    """Two calls a row make the vector, however many columns are encoded; labels beyond the limit go by the stages."""
+    from delaykit.ml import preparation
+
+    monkeypatch.setattr(preparation, "PLAN_CELLS", limit)
+    rows = [("a", 1, 0.0, 0.5, -0.0), ("a", 2, 1.0, 1.5, 3.0), ("b", 2, 0.0, float("nan"), 1.0), ("it's", 3, 1.5, 2.5, 3.0), ("d d", 1, 0.0, 0.0, 0.0)]
+    train = spark.createDataFrame(rows * 2, "k string, n int, b double, x double, y double")
+    fresh = train.union(train.limit(1).withColumn("k", F.lit("z"))).union(train.limit(1).withColumn("n", F.lit(None).cast("int")))
+    for one_hot in (True, False):
+        pipeline = build_pipeline(train, FeatureSet("s", ("k", "n", "b"), ("x", "y")), one_hot)
+        made, whole = transformed(pipeline, fresh, ["k", "n"], in_steps=True), pipeline.transform(fresh)
+        assert made.schema["features"].metadata == whole.schema["features"].metadata
+        assert sorted(map(str, made.collect())) == sorted(map(str, whole.select("k", "n", "features").collect()))
+        calls = made._jdf.queryExecution().optimizedPlan().toString().count("UDF(")
+        assert (calls <= 2) == (limit == 256 or not one_hot)
