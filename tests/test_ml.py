@@ -246,6 +246,26 @@ def test_a_failed_fit_is_reported_for_every_setting_it_serves(spark):
     assert found.metrics.isEmpty() and found.failures.count() == 4
 
 
+def test_a_query_does_not_show_a_search_with_failed_fits(spark, monkeypatch):
+    """The rows of the settings that went well are no result of the whole grid, nor are those of three folds."""
+    from delaykit.catalogue import model_queries
+    from delaykit.config import LABEL
+    from delaykit.plans.training import Prepared
+
+    df = boosting_rows(spark).withColumnRenamed("y", LABEL)
+    rows = {"all": df, "no validation": df.filter("fold = 0 or not is_val")}
+    monkeypatch.setattr(model_queries, "_prepared", lambda spark, sf, *a, **k: Prepared(None, rows[sf], df))
+    for bins, sf, told in (([4, 1], "all", "maxBins"), ([4], "no validation", "fold 1")):
+        monkeypatch.setitem(model_queries.PUBLISHED_GRIDS, "gbt", {"maxIter": [2], "maxBins": bins, "maxDepth": [2]})
+        for name in ("published_gbt", "holdout_eval_gbt"):
+            with pytest.raises(RuntimeError, match=told):
+                getattr(model_queries, name)(spark, sf)
+    found = blocking_search(df, "gbt", expand_grid({"maxIter": [2], "maxBins": [4, 1]}), LABEL)
+    assert found.failures.count() == 2 and found.metrics.count() == 2
+    monkeypatch.setitem(model_queries.PUBLISHED_GRIDS, "gbt", {"maxIter": [2], "maxBins": [4], "maxDepth": [2]})
+    assert model_queries.published_gbt(spark, "all").count() == 2 * 3
+
+
 def test_rows_are_encoded_once(flights, monkeypatch):
     """Ranking and scaling read the written vectors."""
     from pyspark.ml.feature import OneHotEncoderModel
