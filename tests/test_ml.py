@@ -198,6 +198,42 @@ def test_kfold(prepared):
     assert table.count() == 2 and table.filter("avg_auc > 0.5").count() >= 1
 
 
+def test_kfold_is_sparks_with_fewer_fits(spark, monkeypatch):
+    """The areas, their spread and the chosen model of Spark's own cross-validation; fits that must end alike are made once."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    df, made, keep = boosting_rows(spark).select("y", "features"), [], LogisticRegression._fit
+    grid = {"regParam": [0.0, 0.05, 3.0], "elasticNetParam": [0.0, 1.0], "maxIter": [1, 30]}
+    base = make_estimator("lr", {}, "y")
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(base.getParam(name), values)
+    whole = CrossValidator(
+        estimator=base, estimatorParamMaps=builder.build(), evaluator=BinaryClassificationEvaluator(labelCol="y"), numFolds=3, seed=100
+    ).fit(df)
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, rows: made.append(1) or keep(self, rows))
+    fitted, table = kfold_search(df, "lr", grid, "y", folds=3)
+    assert len(made) == 3 * 9 + 1 < 3 * len(whole.avgMetrics)  # two each without a penalty and for three others, one for the last
+    assert fitted.avgMetrics == pytest.approx(whole.avgMetrics, abs=1e-9) and fitted.stdMetrics == pytest.approx(whole.stdMetrics, abs=1e-9)
+    assert fitted.bestModel.coefficients.toArray() == pytest.approx(whole.bestModel.coefficients.toArray())
+    assert 0.5 in fitted.avgMetrics and max(fitted.avgMetrics) > 0.8  # some settings are held at zero, some are not
+    assert sorted(r["avg_auc"] for r in table.collect()) == sorted(fitted.avgMetrics) and fitted.getNumFolds() == 3
+    trees = kfold_search(df, "gbt", {"maxIter": [2, 4], "maxDepth": [2]}, "y")[0].avgMetrics
+    alone = [kfold_search(df, "gbt", {"maxIter": [n], "maxDepth": [2]}, "y")[0].avgMetrics[0] for n in (2, 4)]
+    assert trees == pytest.approx(alone, abs=1e-12)
+
+
+def test_areas_of_one_kind_of_rows(spark):
+    from delaykit.ml.search import fold_areas
+
+    df = boosting_rows(spark).select("y", "features")
+    model = make_estimator("svm", {"maxIter": 2}, "y").fit(df)
+    assert fold_areas([model], df.filter("y = 0"), "y") == [0.0] and fold_areas([model], df.filter("y = 1"), "y") == [1.0]
+    assert fold_areas([model], df.limit(0), "y") == [0.5]
+
+
 def boosting_rows(spark):
     from pyspark.ml.linalg import Vectors
 
